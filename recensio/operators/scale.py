@@ -35,26 +35,58 @@ def lookup_join(
     on: Sequence[str],
     how: str = "left",
     rows: int = BROADCAST_ROWS,
+    seen: str | None = None,
 ) -> DataFrame:
     """Join ``facts`` to ``dim``, which holds each key once.
 
     Small ``dim``: broadcast. Otherwise the keys that cover more than
     1/HOT_SHARE of the facts are looked up through a broadcast of at most
     HOT_SHARE rows, and only the evenly spread rest is shuffled.
+    ``seen`` names a column of ``dim`` that already holds the fact rows per key.
     """
     on = list(on)
     if fits_broadcast(dim, rows):
         return facts.join(F.broadcast(dim), on, how)
-    per_key = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = facts.count()
-    hot_keys = per_key.filter(F.col("_n") * HOT_SHARE > F.lit(total)).select(*on)
-    hot = dim.join(F.broadcast(hot_keys), on, "left_semi").withColumn("_hot", F.lit(True))
-    probed = facts.join(F.broadcast(hot), on, "left")
+    if seen:
+        total = dim.agg(F.sum(seen).alias("n")).first()["n"]
+        hot = dim.filter(F.col(seen) * HOT_SHARE > F.lit(total))
+    else:
+        per_key = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+        total = facts.count()
+        hot_keys = per_key.filter(F.col("_n") * HOT_SHARE > F.lit(total)).select(*on)
+        hot = dim.join(F.broadcast(hot_keys), on, "left_semi")
+    probed = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
     found = probed.filter(F.col("_hot")).drop("_hot")
     rest = probed.filter(F.col("_hot").isNull()).select(*facts.columns)
     return found.unionByName(rest.join(dim, on, how).select(*found.columns))
 
 
+def salted(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], by: str, most: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Split the work of keys with more than ``most`` left rows over several tasks.
+
+    Left rows of such a key get one of ceil(rows / most) salts, right rows get
+    all of them, so each pair of rows still meets exactly once. Returns both
+    sides and the columns to join on.
+    """
+    keys = list(keys)
+    sizes = (
+        left.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_size"))
+        .filter(F.col("_size") > most)
+        .withColumn("_salts", F.ceil(F.col("_size") / F.lit(most)).cast("int"))
+    )
+    if sizes.isEmpty():
+        return left, right, keys
+    salts = F.coalesce("_salts", F.lit(1))
+    one = F.pmod(F.xxhash64(by), salts).cast("int")
+    every = F.explode(F.sequence(F.lit(0), salts - 1))
+    left = lookup_join(left, sizes, keys, seen="_size").withColumn("_salt", one)
+    right = lookup_join(right, sizes, keys, seen="_size").withColumn("_salt", every)
+    return left.drop("_size", "_salts"), right.drop("_size", "_salts"), [*keys, "_salt"]
+
+
 def number_rows(df: DataFrame, key: str, name: str = "row_index", start: int = 0) -> DataFrame:
     """Consecutive numbers in the order of the unique numeric ``key``.
 
