@@ -1 +1,324 @@
+"""Topic tables, evaluation, feature importance."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from recensio.catalog.base import HOME, WITH_REVIEWS, query, reviews, table
+from recensio.catalog.features import PUNCT, hits
+from recensio.catalog.text import WORD
+from recensio.functions import features as fx
+from recensio.functions.text import normalize_sentiment
+from recensio.operators import density, encode, evaluate, forest, topics as tp
+from recensio.sources.readers import spread
+
+# Topics of the test tables: the source number less one, so src0 plays noise.
+ASSIGNED_SQL = "select doc_id, text, cast(substr(source, 4) as int) - 1 as topic from documents"
+STOP = ["the", "und", "les", "que", "app"]
+STOP_SQL = "('the','und','les','que','app')"
+WORDS_CTE = f"""with assigned as ({ASSIGNED_SQL}),
+tok as (select topic, unnest(regexp_extract_all(lower(text), '{WORD}{{2,}}')) as term from assigned),
+tc as (select topic, term, count(*) as tf from tok where term not in {STOP_SQL} group by all),
+keep as (select term from tc group by term having count(*) >= 2),
+counts as (select tc.* from tc join keep using (term)),
+lens as (select topic, sum(tf) as length from counts group by topic),
+tot as (select term, sum(tf) as f from counts group by term),
+weights as (select topic, term, tf / length * ln(1 + (select floor(avg(length)) from lens) / f) as weight
+  from counts join lens using (topic) join tot using (term)),
+ranked as (select topic, term, weight,
+  row_number() over (partition by topic order by round(weight, 12) desc, term) as rank from weights)"""
+
+# Topics and vectors of the embeddings table: label less one, so 0 plays noise.
+VECTORS_SQL = "select vec_id, label - 1 as topic, cast(embedding as array<double>) as vector from {e}"
+VECTORS_CTE = """with vecs as (select vec_id, label - 1 as topic, cast(embedding as double[]) as v from embeddings),
+dims as (select vec_id, topic, unnest(v) as x, generate_subscripts(v, 1) as d from vecs),
+means as (select topic, d, avg(x) as x from dims where topic <> -1 group by topic, d),
+centres as (select topic, list(x order by d) as c from means group by topic)"""
+
+
+def assigned(spark, sf_dir):
+    documents = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return spark.sql(ASSIGNED_SQL.replace("from documents", "from {documents}"), documents=documents)
+
+
+def vectors(spark, sf_dir):
+    return spark.sql(VECTORS_SQL, e=table(spark, sf_dir, "embeddings"))
+
+
+def centres(spark, sf_dir):
+    v = vectors(spark, sf_dir)
+    return tp.topic_vectors(v.select("vec_id", "topic"), v.select("vec_id", "vector"), "vec_id")
+
+
+def words(spark, sf_dir, k=10):
+    counts = tp.topic_term_counts(assigned(spark, sf_dir), "text", stop=STOP)
+    weights = tp.class_tfidf(counts).withColumn("weight", F.round("weight", 12))
+    return tp.top_words(weights, k)
+
+
+@query("m01_encode_documents")
+def m01(spark, sf_dir):
+    df = reviews(spark, sf_dir, True)
+    return encode.encode_documents(df, "review_id", "review").withColumn("vector", F.array_join("vector", ","))
+
+
+@query("m02_reduce_vectors")
+def m02(spark, sf_dir):
+    reduced = encode.reduce_vectors(vectors(spark, sf_dir), "vec_id")
+    return reduced.withColumn("reduced", F.array_join("reduced", ","))
+
+
+@query("m03_density_cluster")
+def m03(spark, sf_dir):
+    reduced = encode.reduce_vectors(vectors(spark, sf_dir), "vec_id")
+    return density.density_cluster(reduced, "vec_id", "reduced")
+
+
+@query("m04_topic_term_counts", f"{WORDS_CTE} select topic, term, tf from counts")
+def m04(spark, sf_dir):
+    return tp.topic_term_counts(assigned(spark, sf_dir), "text", stop=STOP)
+
+
+@query("m05_class_tfidf", f"{WORDS_CTE} select topic, term, round(weight, 9) as weight from weights")
+def m05(spark, sf_dir):
+    counts = tp.topic_term_counts(assigned(spark, sf_dir), "text", stop=STOP)
+    return tp.class_tfidf(counts).withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    "m06_topic_info",
+    f"""{WORDS_CTE}, names as (select topic, string_agg(term, '_' order by rank) as terms from ranked
+      where rank <= 4 group by topic)
+    select topic, count(*) as count, topic || '_' || any_value(terms) as name
+    from assigned join names using (topic) group by topic""",
+)
+def m06(spark, sf_dir):
+    info = tp.topic_info(assigned(spark, sf_dir).select("doc_id", "topic"), words(spark, sf_dir))
+    return info.select("topic", "count", "name")
+
+
+@query(
+    "m06b_number_topics",
+    """with c as (select doc_id, case when source = 'src0' then -1 else (doc_id % 6) * (doc_id % 7) end as cluster
+      from documents), s as (select cluster, row_number() over (order by count(*) desc, cluster) - 1 as topic
+      from c where cluster <> -1 group by cluster)
+    select doc_id, coalesce(topic, -1) as topic from c left join s using (cluster)""",
+)
+def m06b(spark, sf_dir):
+    i = F.col("doc_id")
+    cluster = F.when(F.col("source") == "src0", -1).otherwise((i % 6) * (i % 7)).alias("cluster")
+    return tp.number_topics(table(spark, sf_dir, "documents").select("doc_id", cluster), "doc_id")
+
+
+@query(
+    "m07_topic_probabilities",
+    f"""{VECTORS_CTE}, p as (select vec_id, centres.topic, exp(-list_distance(v, c)) as e from vecs, centres)
+    select vec_id, cast(topic as int) as topic, round(e / sum(e) over (partition by vec_id), 6) as prob from p""",
+)
+def m07(spark, sf_dir):
+    probs = tp.topic_probabilities(vectors(spark, sf_dir), centres(spark, sf_dir), "vec_id")
+    return probs.select("vec_id", F.posexplode("probs").alias("topic", "prob")).withColumn("prob", F.round("prob", 6))
+
+
+@query(
+    "m08_topic_metrics",
+    f"""with assigned as ({ASSIGNED_SQL}) select count(distinct topic) filter (topic <> -1) as n_topics,
+    count(*) as n_docs, count(*) filter (topic = -1) as n_outliers,
+    round(count(*) filter (topic = -1) / count(*) * 100, 6) as outlier_percentage from assigned""",
+)
+def m08(spark, sf_dir):
+    metrics = tp.topic_metrics(assigned(spark, sf_dir))
+    return metrics.withColumn("outlier_percentage", F.round("outlier_percentage", 6))
+
+
+@query(
+    "m09_silhouette",
+    """with v as (select vec_id, label, cast(embedding as double[]) as e from embeddings where label <> 0),
+    d as (select a.vec_id, a.label as own, b.label as other, sum(list_distance(a.e, b.e)) as s, count(*) as n
+      from v a join v b on a.vec_id <> b.vec_id group by all),
+    p as (select vec_id, max(s / n) filter (own = other) as a, min(s / n) filter (own <> other) as b from d group by 1)
+    select round(avg((b - a) / greatest(a, b)), 6) as silhouette from p""",
+)
+def m09(spark, sf_dir):
+    exact = evaluate.silhouette(vectors(spark, sf_dir), "vec_id", "vector")
+    return exact.select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@query(
+    "m09b_silhouette_squared",
+    """with v as (select vec_id, label, cast(embedding as double[]) as e from embeddings where label <> 0),
+    d as (select a.vec_id, a.label as own, b.label as other, sum(list_distance(a.e, b.e) ** 2) as s, count(*) as n
+      from v a join v b on a.vec_id <> b.vec_id group by all),
+    p as (select vec_id, max(s / n) filter (own = other) as a, min(s / n) filter (own <> other) as b from d group by 1)
+    select round(avg((b - a) / greatest(a, b)), 6) as silhouette from p""",
+)
+def m09b(spark, sf_dir):
+    squared = evaluate.silhouette_squared(vectors(spark, sf_dir), "vec_id", "vector")
+    return squared.select(F.round("silhouette", 6).alias("silhouette"))
+
+
+MATCH_CTE = """with e as (select vec_id, label, unnest(cast(embedding as double[])) as x,
+  generate_subscripts(embedding, 1) as d from embeddings),
+tm as (select topic, list(x order by d) as v from (select vec_id % 20 - 1 as topic, d, avg(x) as x from e group by all)
+  group by topic),
+lm as (select label as pos, 'label_' || label as label, list(x order by d) as v
+  from (select label, d, avg(x) as x from e group by all) group by label),
+sim as (select topic, label, pos, list_cosine_similarity(tm.v, lm.v) as s from tm, lm where topic <> -1),
+best as (select *, row_number() over (partition by topic order by s desc, pos) as k from sim)"""
+
+
+def label_vectors(spark, sf_dir):
+    """Mean vector per label, in the role of encoded taxonomy labels."""
+    v = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("topic"), F.col("embedding").alias("vector"))
+    means = tp.topic_vectors(v.select("vec_id", "topic"), v.select("vec_id", "vector"), "vec_id")
+    return means.select(F.concat(F.lit("label_"), "topic").alias("label"), F.col("topic").alias("pos"), "vector")
+
+
+def twenty_topics(spark, sf_dir):
+    v = table(spark, sf_dir, "embeddings").select(
+        "vec_id", (F.col("vec_id") % 20 - 1).cast("int").alias("topic"), F.col("embedding").alias("vector")
+    )
+    return tp.topic_vectors(v.select("vec_id", "topic"), v.select("vec_id", "vector"), "vec_id")
+
+
+@query(
+    "j07_best_label",
+    f"{MATCH_CTE} select cast(topic as int) as topic, label, round(s, 6) as score from best where k = 1",
+)
+def j07(spark, sf_dir):
+    best = evaluate.best_label(twenty_topics(spark, sf_dir), label_vectors(spark, sf_dir), ["topic"])
+    return best.withColumn("score", F.round("score", 6))
+
+
+@query("w04_best_match", f"{MATCH_CTE} select cast(topic as int) as topic, label from best where k = 1")
+def w04(spark, sf_dir):
+    best = evaluate.best_label(twenty_topics(spark, sf_dir), label_vectors(spark, sf_dir), ["topic"])
+    return best.select("topic", "label")
+
+
+@query("w05_top_words", f"{WORDS_CTE} select topic, cast(rank as int) as rank, term from ranked where rank <= 5")
+def w05(spark, sf_dir):
+    return words(spark, sf_dir, 5).select("topic", "rank", "term")
+
+
+@query(
+    "m10_match_taxonomy",
+    f"""{MATCH_CTE}, {WORDS_CTE.removeprefix('with ')},
+    texts as (select topic, string_agg(term, ' ' order by rank) as top_words from ranked where rank <= 5 group by topic)
+    select cast(topic as int) as topic, top_words, label as best_match_label, round(s, 4) as similarity_score,
+    case when s > 0.6 then 'Strong' else 'Weak/New' end as match_type from best join texts using (topic) where k = 1""",
+)
+def m10(spark, sf_dir):
+    texts = evaluate.topic_texts(words(spark, sf_dir))
+    found = texts.join(twenty_topics(spark, sf_dir), "topic")
+    return evaluate.match_taxonomy(found, label_vectors(spark, sf_dir))
+
+
+@query("m10b_match_taxonomy_by_words")
+def m10b(spark, sf_dir):
+    texts = evaluate.topic_texts(words(spark, sf_dir))
+    found = texts.join(encode.encode_words(texts, "topic", "words"), "topic")
+    sources = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("pos"))
+    named = words(spark, sf_dir, 3).groupBy("topic").agg(F.collect_list("term").alias("terms"))
+    labels = named.select(
+        F.concat(F.lit("src"), (F.col("topic") + 1).cast("string")).alias("source"), "terms"
+    ).join(sources, "source")
+    coded = encode.encode_words(labels, "source", "terms").join(sources, "source")
+    return evaluate.match_taxonomy(found, coded.select(F.col("source").alias("label"), "pos", "vector"))
+
+
+@query("m11_topic_map")
+def m11(spark, sf_dir):
+    return tp.topic_map(centres(spark, sf_dir))
+
+
+@query(
+    "m12_word_scores",
+    f"""{WORDS_CTE}, big as (select topic from assigned where topic <> -1 group by topic
+      order by count(*) desc, topic limit 10)
+    select topic, cast(rank as int) as rank, term, round(weight, 9) as weight from ranked
+    where rank <= 5 and topic in (select topic from big)""",
+)
+def m12(spark, sf_dir):
+    w = words(spark, sf_dir)
+    info = tp.topic_info(assigned(spark, sf_dir).select("doc_id", "topic"), w)
+    return tp.word_scores(info, w).withColumn("weight", F.round("weight", 9))
+
+
+@query(
+    "m13_topic_similarity",
+    f"""{VECTORS_CTE} select a.topic, b.topic as other, round(list_cosine_similarity(a.c, b.c), 6) as similarity
+    from centres a, centres b""",
+)
+def m13(spark, sf_dir):
+    return tp.topic_similarity(centres(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(
+    "m14_attach_topics",
+    f"""{WITH_REVIEWS}, assigned as ({ASSIGNED_SQL}) select review_id, rating, topic
+    from reviews join assigned on review_id = doc_id""",
+)
+def m14(spark, sf_dir):
+    df = reviews(spark, sf_dir).select("review_id", "rating")
+    given = assigned(spark, sf_dir).select(F.col("doc_id").alias("review_id"), "topic")
+    return tp.attach_topics(df, "review_id", given) if tp.enough_documents(df) else df
+
+
+def forest_input(spark, sf_dir):
+    c = F.col("review")
+    return reviews(spark, sf_dir, True).select(
+        "review_id",
+        normalize_sentiment(F.col("sentiment")).alias("sentiment"),
+        "labels",
+        F.col("review_lang").alias("language"),
+        "rating",
+        "review_date",
+        fx.review_length(c).alias("review_length"),
+        fx.punctuation_count(c).alias("punctuation_count"),
+        fx.NOISE_FEATURES["emoji_count"](c).alias("emoji_count"),
+    )
+
+
+@query(
+    "m15_feature_matrix",
+    f"""{WITH_REVIEWS}, f as (select review_id, labels, review_lang, cast(length(review) as double) as length,
+      cast({hits(PUNCT, 'review')} as double) as marks, rating, epoch(review_date) as seconds from reviews
+      where labels is not null and review_lang is not null and review_date is not null)
+    select review_id, cast(2 as int) as n_categories, length + marks + rating + cast(seconds as double) as number_sum
+    from f""",
+)
+def m15(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
+    matrix, names = forest.feature_matrix(forest_input(spark, sf_dir))
+    values = vector_to_array("features")
+    coded = len(names) - 5
+    total = lambda part: F.aggregate(part, F.lit(0.0), lambda acc, x: acc + x)
+    return matrix.select(
+        "review_id",
+        total(F.slice(values, 1, coded)).cast("int").alias("n_categories"),
+        total(F.slice(values, coded + 1, 5)).alias("number_sum"),
+    )
+
+
+@query(
+    "m16_stratified_split",
+    f"""{WITH_REVIEWS}, c as (select coalesce(lower(trim(sentiment)), 'nan') as sentiment, count(*) as n
+      from reviews group by 1) select sentiment, cast(round(n * 0.8) as bigint) as n_train,
+      n - cast(round(n * 0.8) as bigint) as n_test from c""",
+)
+def m16(spark, sf_dir):
+    df = reviews(spark, sf_dir).select("review_id", normalize_sentiment(F.col("sentiment")).alias("sentiment"))
+    split = forest.stratified_split(df, "review_id", "sentiment")
+    return split.groupBy("sentiment").agg(
+        F.count(F.when(F.col("is_train"), True)).alias("n_train"),
+        F.count(F.when(~F.col("is_train"), True)).alias("n_test"),
+    )
+
+
+@query("m17_feature_importance")
+def m17(spark, sf_dir):
+    matrix, names = forest.feature_matrix(forest_input(spark, sf_dir))
+    train = forest.stratified_split(matrix, "review_id", "sentiment").filter("is_train")
+    return forest.feature_importance(train, names).limit(20)
