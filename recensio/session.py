@@ -37,17 +37,20 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there.
-
-    Used where a result feeds several branches or an iteration, so that a lost
-    executor costs a re-read and not a recomputation of the whole history.
-    """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, for tables that queries write."""
     _ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a table in the shared checkpoint folder and read it back.
+
+    Used where a result feeds several branches or an iteration: a lost executor
+    costs a re-read and not a recomputation of the whole history. Unlike a
+    checkpoint, the table is columnar, so later scans prune columns, push
+    filters down and know its size.
+    """
+    folder = shared_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
