@@ -97,7 +97,7 @@ def number_rows(df: DataFrame, key: str, name: str = "row_index", start: int = 0
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     points = [i / parts for i in range(1, parts)]
     cuts = sorted(
-        set(df.agg(F.percentile_approx(key, points, 10 * parts).alias("c")).first()["c"] or [])
+        set(df.agg(F.percentile_approx(key, points, 10 * parts).alias("c")).first()["c"] or [0])
     )
     splits = [float("-inf"), *[float(c) for c in cuts], float("inf")]
     ranged = (
