@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: A side is broadcast only if it stays below both limits.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 #: A key is hot when it covers more than 1/HOT_SHARE of all rows, so that at
 #: most HOT_SHARE keys can be hot, whatever the data.
@@ -61,6 +61,18 @@ def lookup_join(
     return found.unionByName(rest.join(dim, on, how).select(*found.columns))
 
 
+def counted_lookup(rows: DataFrame, dim: DataFrame, key: str, on: str, how: str = "left") -> DataFrame:
+    """``lookup_join`` of repeated ``rows(key, on)``, with ``tf`` repeats per row.
+
+    With a broadcast the rows are looked up as they are; before a shuffle,
+    repeats inside a key are counted first.
+    """
+    if fits_broadcast(dim):
+        return rows.withColumn("tf", F.lit(1)).join(F.broadcast(dim), on, how)
+    counted = rows.groupBy(key, on).agg(F.count(F.lit(1)).alias("tf"))
+    return lookup_join(counted, dim, [on], how)
+
+
 def salted(
     left: DataFrame, right: DataFrame, keys: Sequence[str], by: str, most: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:

@@ -9,7 +9,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recensio.functions.features import let, term_counts, terms
+from recensio.functions.features import let, terms
 from recensio.functions.wordlists import TOPIC_NOISE_WORDS
 from recensio.operators.blocks import with_blocks
 from recensio.operators.density import NOISE, density_cluster
@@ -46,13 +46,10 @@ def topic_term_counts(
     df: DataFrame, text: str, topic: str = "topic", stop: Sequence[str] = (), min_df: int = 2
 ) -> DataFrame:
     """``(topic, term, tf)`` of terms that occur in at least ``min_df`` topics."""
-    counted = (
-        df.select(topic, F.explode(term_counts(terms(F.col(text)))).alias("c"))
-        .select(F.col(topic).alias("topic"), F.col("c.term").alias("term"), F.col("c.tf").alias("tf"))
-        .filter(~F.col("term").isin(list(stop)) if stop else F.lit(True))
-        .groupBy("topic", "term")
-        .agg(F.sum("tf").alias("tf"))
-    )
+    tokens = df.select(F.col(topic).alias("topic"), F.explode(terms(F.col(text))).alias("term"))
+    if stop:
+        tokens = tokens.filter(~F.col("term").isin(list(stop)))
+    counted = materialize(tokens.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("tf")))
     spread = counted.groupBy("term").agg(F.count(F.lit(1)).alias("topics")).filter(F.col("topics") >= min_df)
     return lookup_join(counted, spread, ["term"], "inner", seen="topics").select("topic", "term", "tf")
 
