@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from recensio.catalog.base import HOME, WITH_NOISY, WITH_REVIEWS, noisy, query, reviews
 from recensio.catalog.text import WORD, masks_sql, runs_sql, space_sql
-from recensio.functions import emoji, features as fx, text as fn, wordlists
+from recensio.functions import emoji, features as fx, text as fn
 from recensio.operators import filters, rarity
 
 PUNCT = r"[^\p{L}\p{N}_\s\p{Z}]"
@@ -71,18 +71,23 @@ SIMPLE = {
 
 def _simple(column, make):
     def run(spark, sf_dir):
-        return noisy(spark, sf_dir).filter(F.col("review").isNotNull() | F.lit(column not in NULL_LEFT_OUT)).select(
-            "review_id", make(F.col("review")).alias(column)
-        )
+        return noisy(spark, sf_dir).select("review_id", make(F.col("review")).alias(column))
 
     return run
 
 
-# Left null by the reference semantics; such rows are left out of the comparison.
-NULL_LEFT_OUT = {"punctuation_count", "emoji_count"}
+# Counts that stay null for a missing review show as -1 in the comparison.
+NULL_STAYS = {"punctuation_count", "emoji_count"}
+
+
+def _shown(make):
+    return lambda c: F.coalesce(make(c), F.lit(-1))
+
+
 for _name, (_column, _make, _sql) in SIMPLE.items():
-    _where = " where review is not null" if _column in NULL_LEFT_OUT else ""
-    query(_name, f"{WITH_NOISY} select review_id, {_sql} as {_column} from noisy{_where}")(_simple(_column, _make))
+    if _column in NULL_STAYS:
+        _make, _sql = _shown(_make), f"coalesce({_sql}, -1)"
+    query(_name, f"{WITH_NOISY} select review_id, {_sql} as {_column} from noisy")(_simple(_column, _make))
 
 query("x09_repeated_chars", RUNS_CTE + """ select review_id, coalesce(n, 0) as repeated_chars
 from noisy left join runs on review_id = id""")(_simple("repeated_chars", fx.repeated_chars))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from recensio.catalog.base import WITH_TAXONOMY, query, reviews, taxonomy
 from recensio.operators import labels as lb
+from recensio.operators.updates import write_back
 from recensio.sources import readers
 
 LABELS_CTE = f"""{WITH_TAXONOMY}, p as (select review_id, review_date, case when labels like '[%' and labels like '%]'
@@ -38,13 +39,11 @@ def joined_labels(column: str) -> str:
 
 @query(
     "j01_write_back_subset",
-    f"""{WITH_TAXONOMY} select review_id, case when rating <= 2 then concat('low ', sentiment)
-    else sentiment end as sentiment from reviews where sentiment is not null""",
+    f"""{WITH_TAXONOMY} select review_id, case when rating <= 2 and sentiment is not null
+    then concat('low ', sentiment) else sentiment end as sentiment from reviews""",
 )
 def j01(spark, sf_dir):
-    from recensio.operators.updates import write_back
-
-    df = reviews(spark, sf_dir).filter(F.col("sentiment").isNotNull()).select("review_id", "sentiment", "rating")
+    df = reviews(spark, sf_dir).select("review_id", "sentiment", "rating")
     changed = df.filter(F.col("rating") <= 2).select(
         "review_id", F.concat(F.lit("low "), "sentiment").alias("sentiment")
     )

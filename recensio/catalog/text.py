@@ -199,12 +199,12 @@ def t10(spark, sf_dir):
 
 @query(
     "t11_epoch_seconds",
-    f"""{WITH_REVIEWS} select review_id, cast(epoch(review_date) as bigint) as seconds
-    from reviews where review_date is not null""",
+    f"""{WITH_REVIEWS} select review_id, coalesce(cast(epoch(review_date) as bigint), -1) as seconds
+    from reviews""",
 )
 def t11(spark, sf_dir):
-    df = reviews(spark, sf_dir).filter(F.col("review_date").isNotNull())
-    return df.select("review_id", (F.unix_date("review_date").cast("long") * 86400).alias("seconds"))
+    seconds = F.unix_date("review_date").cast("long") * 86400
+    return reviews(spark, sf_dir).select("review_id", F.coalesce(seconds, F.lit(-1)).alias("seconds"))
 
 
 @query("t12_corpus", f"{WITH_NOISY} select review_id, review as text from noisy")

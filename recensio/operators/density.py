@@ -116,7 +116,7 @@ def _choose(cells: DataFrame, levels: int, min_size: int) -> DataFrame:
             )
         else:
             here = here.withColumn("hid", F.lit(False))
-        here = materialize(here.select("component", "keep", "hid"))
+        here = here.select("component", "keep", "hid")
         chosen.append(here.filter("keep and not hid").select("component"))
         hidden = here.select("component", (F.col("keep") | F.col("hid")).alias("hid"))
     out = chosen[0]

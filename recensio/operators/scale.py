@@ -8,6 +8,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recensio.session import materialize
+
 #: A side is broadcast only if it stays below both limits.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -134,13 +136,13 @@ def exact_quantiles(
 ) -> DataFrame:
     """Interpolated quantiles per ``group``, without one task holding a group.
 
-    Values are counted first. Approximate cut points split each group's distinct
+    Values are counted first, reading the input once. Approximate cut points split each group's distinct
     values into ranges; running counts inside a range plus the counts of the
     ranges before it give every value its exact position.
     ``weight`` names a column of repeat counts.
     """
     size = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = (
+    counts = materialize(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
         .agg(size.cast("long").alias("_n"))

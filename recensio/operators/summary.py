@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.operators.scale import exact_quantiles
+from recensio.session import materialize
 
 
 def count_rows() -> Column:
@@ -60,20 +61,26 @@ def counted(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Count, mean, sample deviation, minimum, exact quartiles, maximum."""
-    basic = (
-        long_form(df, columns)
-        .groupBy("feature")
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    """Count, mean, sample deviation, minimum, exact quartiles, maximum.
+
+    Values are counted in the one pass over the input; the rest works on counts.
+    """
+    counts = materialize(counted(df, columns).filter(F.col("value").isNotNull()))
+    n, v = F.col("n"), F.col("value")
+    basic = counts.groupBy("feature").agg(
+        F.sum(n).alias("count"),
+        (F.sum(n * v) / F.sum(n)).alias("mean"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    )
+    spread = (
+        counts.join(basic.select("feature", "count", "mean"), "feature")
+        .groupBy("feature", "count")
+        .agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("squares"))
+        .select("feature", F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"))
     )
-    quartiles = exact_quantiles(counted(df, columns), "feature", "value", QUARTILES, "n")
-    return basic.join(quartiles, "feature")
+    quartiles = exact_quantiles(counts, "feature", "value", QUARTILES, "n")
+    return basic.join(spread, "feature").join(quartiles, "feature")
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -103,7 +110,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 def box_statistics(df: DataFrame, columns: Sequence[str], reach: float = 1.5) -> DataFrame:
     """Quartiles, whiskers at the last value within ``reach`` x IQR, outlier count."""
-    counts = counted(df, columns).filter(F.col("value").isNotNull())
+    counts = materialize(counted(df, columns).filter(F.col("value").isNotNull()))
     quartiles = exact_quantiles(counts, "feature", "value", QUARTILES, "n")
     iqr = F.col("q75") - F.col("q25")
     inside = F.col("value").between(F.col("q25") - reach * iqr, F.col("q75") + reach * iqr)
