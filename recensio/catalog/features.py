@@ -85,11 +85,13 @@ def _shown(make):
 
 
 for _name, (_column, _make, _sql) in SIMPLE.items():
+    if _column.endswith(("_count", "_length")):
+        _sql = f"cast({_sql} as int)"
     if _column in NULL_STAYS:
-        _make, _sql = _shown(_make), f"coalesce({_sql}, -1)"
+        _make, _sql = _shown(_make), f"cast(coalesce({_sql}, -1) as int)"
     query(_name, f"{WITH_NOISY} select review_id, {_sql} as {_column} from noisy")(_simple(_column, _make))
 
-query("x09_repeated_chars", RUNS_CTE + """ select review_id, coalesce(n, 0) as repeated_chars
+query("x09_repeated_chars", RUNS_CTE + """ select review_id, cast(coalesce(n, 0) as int) as repeated_chars
 from noisy left join runs on review_id = id""")(_simple("repeated_chars", fx.repeated_chars))
 
 

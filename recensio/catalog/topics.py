@@ -102,7 +102,7 @@ def m06(spark, sf_dir):
     """with c as (select doc_id, case when source = 'src0' then -1 else (doc_id % 6) * (doc_id % 7) end as cluster
       from documents), s as (select cluster, row_number() over (order by count(*) desc, cluster) - 1 as topic
       from c where cluster <> -1 group by cluster)
-    select doc_id, coalesce(topic, -1) as topic from c left join s using (cluster)""",
+    select doc_id, cast(coalesce(topic, -1) as int) as topic from c left join s using (cluster)""",
 )
 def m06b(spark, sf_dir):
     i = F.col("doc_id")
