@@ -110,3 +110,18 @@ def test_similar_vectors(spark, most):
     want = {(i, j) for i in firsts for j in firsts if i < j and s[i, j] >= 0.95}
     assert {(r["id1"], r["id2"]) for r in pairs.collect()} == want
     assert sum(r["copies"] for r in groups.collect()) == len(x) - 1
+
+
+def test_without_any_broadcast(spark, texts, monkeypatch):
+    from recensio.operators import scale, weights
+
+    df = spark.createDataFrame(texts, "id long, text string")
+
+    def shown():
+        rows = weights.term_weights(df, "id", "text").collect()
+        return sorted((r["id"], r["term"], r["tf"], round(r["weight"], 9), round(r["before"], 9)) for r in rows)
+
+    want = shown()
+    monkeypatch.setattr(weights, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
+    assert shown() == want

@@ -92,3 +92,20 @@ def test_scores_and_top_label(spark):
         st.argmax_label(F.col("s"), labels).alias("a"), st.top_label(st.label_scores(F.col("s"), labels)).alias("b")
     ).first()
     assert row["a"] == "neutral" and row["b"] == "neutral"
+
+
+def test_language_and_rare_words_without_broadcast(spark, monkeypatch):
+    from recensio.operators import rarity, scale
+
+    rows = [(i, f"the cat number {i % 7} and the dog", "en") for i in range(40)] + [(99, "il gatto e il cane", "it")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = train_language_model(df, "text", "lang")
+
+    def shown():
+        codes = detect_language(df, "id", "text", model).select("id", "detected_lang").collect()
+        ratios = rarity.rare_token_ratio(df, "id", "text").collect()
+        return sorted(map(str, codes)), sorted(map(str, ratios))
+
+    want = shown()
+    monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
+    assert shown() == want
