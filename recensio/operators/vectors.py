@@ -35,7 +35,8 @@ def unit(vector: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    return dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    """Null if either vector is zero."""
+    return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
 def similar_vectors(

@@ -113,3 +113,10 @@ def test_large_mapping_gives_the_same_labels(spark, monkeypatch):
     monkeypatch.setattr(labels_module, "MAP_ROWS", 0)
     assert sorted(map(str, map_labels(df, "id", "ls", pairs, "out").collect())) == small
     assert any("['AA', 'b', 'AA']" in row for row in small)
+
+
+def test_zero_vectors_match_with_score_zero(spark):
+    topics = spark.createDataFrame([(0, "a", [0.0, 0.0])], "topic int, top_words string, vector array<double>")
+    labels = spark.createDataFrame([("x", 0, [1.0, 0.0])], "label string, pos int, vector array<double>")
+    row = evaluate.match_taxonomy(topics, labels).first()
+    assert (row["similarity_score"], row["match_type"]) == (0.0, "Weak/New")
