@@ -174,3 +174,13 @@ def slices(bucket: np.ndarray, buckets: int) -> np.ndarray:
 def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
     """Equal ranges of the hash space, so that sorted hashes are in bucket order."""
     return (((hashes >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def pieces(batch: pa.RecordBatch, column: str, size: int = 2 << 20):
+    """Slices of consecutive rows with about ``size`` bytes of text each, a longer text alone."""
+    _, offsets = text_bytes(batch.column(column))
+    i = 0
+    while i < batch.num_rows:
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, side="right")) - 1)
+        yield batch.slice(i, j - i)
+        i = j

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recensio.llm import backoff, leaks, repeats
+from recensio.llm import backoff, leaks, mixing, repeats, shards, similar_sets, sketch
 from recensio.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,6 +161,131 @@ def op3(spark, sf_dir):
     )
 
 
+@query("op4_shards")
+def op4(spark, sf_dir):
+    placed = shards.shard_documents(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "group_size",
+    )
+
+
+@query("op5_fingerprints")
+def op5(spark, sf_dir):
+    made = sketch.edited_likeness(table(spark, sf_dir, "documents"))
+    own, edited, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return made.select(
+        "doc_id",
+        F.char_length("text").cast("long").alias("n_chars"),
+        digest(F.col("edited")).alias("edited_sha256"),
+        sketch.fingerprint(own).alias("fingerprint"),
+        sketch.fingerprint(edited).alias("edited_fingerprint"),
+        sketch.containment(own, edited).alias("near_edited"),
+        sketch.containment(own, following).alias("near_next"),
+        sketch.resemblance(own, edited).alias("jaccard_edited"),
+        sketch.resemblance(own, following).alias("jaccard_next"),
+    )
+
+
+OP8_SQL = r"""
+with recursive texts as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+shingles as (
+  select distinct doc_id, list_aggregate(w[i:i + 4], 'string_agg', ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from texts where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs_ as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n_both from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id),
+links as (
+  select a, b from pairs_ join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where n_both + 1e-9 >= 0.8 * (x.n + y.n - n_both)),
+reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select reach.a, links.b from reach join links on reach.b = links.a),
+classes as (select a, min(b) as class_id from reach group by a),
+counts as (select a, count(*) as n_links from links group by a)
+select d.doc_id, class_id, coalesce(n_links, 0) as n_links, coalesce(n, 0) as n_shingles
+from documents d join classes on classes.a = d.doc_id left join counts on counts.a = d.doc_id
+  left join sizes on sizes.doc_id = d.doc_id
+"""
+
+
+@query("op8_jaccard_join", OP8_SQL)
+def op8(spark, sf_dir):
+    return similar_sets.similarity_classes(table(spark, sf_dir, "documents"))
+
+
+# The rounds of raking, three windows each, written out as one chain.
+def _raked_sql(rounds: int) -> str:
+    chain, at = [], "r0"
+    for k in range(rounds):
+        for margin in mixing.MARGINS:
+            to = f"r{k + 1}" if margin == mixing.MARGINS[-1] else f"r{k}_{margin}"
+            chain.append(
+                f"{to} as (select * replace (weight * target_{margin} / sum(weight) over (partition by {margin}) as weight) from {at})"
+            )
+            at = to
+    return ",\n".join(chain)
+
+
+OP9_SQL = (
+    r"""
+with texts as (
+  select doc_id, coalesce(source, '(none)') as source, coalesce(lang, '(none)') as lang, coalesce(text, '') as t,
+    coalesce(doc_id::varchar, text, '') as key from documents),
+rows_ as (
+  select doc_id, source, lang, key, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+'))::bigint as n_tokens,
+    case when contains(t, ' | ') then 'table' when contains(t, 'icens') then 'licence' when length(t) < 1000 then 'short'
+      when length(t) < 4000 then 'medium' else 'long' end as topic from texts),
+cells as (select source, lang, topic, sum(n_tokens)::bigint as tokens from rows_ group by all having sum(n_tokens) > 0),
+"""
+    + ",\n".join(
+        f"""own_{m} as (select {m}, pow(sum(tokens)::double / (select sum(tokens) from cells), 0.7) as p from cells group by {m}),
+share_{m} as (select {m}, p / (select sum(p) from own_{m}) as target_{m} from own_{m})"""
+        for m in mixing.MARGINS
+    )
+    + """,
+r0 as (select *, tokens::double as weight from cells join share_source using (source) join share_lang using (lang)
+  join share_topic using (topic)),
+"""
+    + _raked_sql(20)
+    + """,
+ratios as (select source, lang, topic, weight * (select sum(tokens) from cells) / tokens as ratio from r20),
+chances as (select *, ratio / (select max(ratio) from ratios) as p from ratios)
+select doc_id, source, lang, topic, n_tokens, round(coalesce(case when n_tokens > 0 then ratio end, 0), 6) as ratio,
+  round(coalesce(case when n_tokens > 0 then p end, 0), 6) as probability,
+  ('0x' || substr(md5('mix:' || key), 1, 8))::bigint / 4294967296.0::double
+    < coalesce(case when n_tokens > 0 then p end, 0) as sampled
+from rows_ left join chances using (source, lang, topic)
+"""
+)
+
+
+@query("op9_mixture", OP9_SQL)
+def op9(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    named = lambda c: F.coalesce(F.col(c), F.lit("(none)")).alias(c)
+    return mixed.select(
+        "doc_id",
+        named("source"),
+        named("lang"),
+        F.col("mix_topic").alias("topic"),
+        "n_tokens",
+        F.round("ratio", 6).alias("ratio"),
+        F.round("probability", 6).alias("probability"),
+        "sampled",
+    )
+
+
 def queries():
     return dict(QUERIES)
 
