@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recensio.llm import backoff, leaks, mixing, repeats, shards, similar_sets, sketch
+from recensio.llm import backoff, credentials, langnet, leaks, mixing, quality, repeats, shards, similar_sets, sketch
 from recensio.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,6 +193,29 @@ def op5(spark, sf_dir):
     )
 
 
+@query("op6_language_id")
+def op6(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(4) == 2)
+    net = langnet.fit(docs.filter(~F.col("held_out")))
+    named = langnet.predict(docs.select("doc_id", "held_out", "text"), net)
+    return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
+@query("op7_secret_scan")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = credentials.scan(docs, credentials.fit(docs))
+    place = lambda s: F.concat_ws(":", s["kind"], s["begin"].cast("string"), s["end"].cast("string"))
+    joined = lambda spans: F.array_join(F.transform(spans, place), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in credentials.KINDS],
+        digest(joined(F.filter("spans", lambda s: s["base"]))).alias("base_sha256"),
+        joined("spans").alias("spans"),
+    )
+
+
 OP8_SQL = r"""
 with recursive texts as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -286,6 +309,15 @@ def op9(spark, sf_dir):
     )
 
 
+@query("op10_quality")
+def op10(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", fold(4) == 2)
+    learned = table(spark, sf_dir, "labels").filter(fold(4) != 2)
+    forest = quality.fit(docs, learned)
+    scored = quality.score(docs.select("doc_id", "held_out", "text"), forest, name="score")
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= quality.KEEP).cast("int").alias("predicted"))
+
+
 def queries():
     return dict(QUERIES)
 
