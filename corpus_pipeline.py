@@ -3,13 +3,65 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from recensio.llm import leaks, mixing, quality, shards, similar_sets
+from recensio.llm.ship import ship
+from recensio.session import materialize
+
+
+def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, fitted on the labelled ones, does not reject.
+
+    Documents whose id's crc32 leaves remainder 2 after division by 4 are held out
+    of the fit. Without labels all documents are scored alike, by a chance of one half,
+    so none stays.
+    """
+    ship(spark)
+    seen = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
+    forest = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").filter(seen))
+    scored = quality.score(docs, forest, name="_quality")
+    return scored.filter(F.col("_quality") >= quality.KEEP).select(*docs.columns)
+
+
+def different_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id from each group that similar shingle sets connect."""
+    ship(spark)
+    return similar_sets.one_of_each(docs)
+
+
+def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    found = leaks.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.filter(F.size("hit_words") == 0).select(*docs.columns)
+
+
+def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn so that tokens meet the target shares of sources, languages and topics."""
+    return mixing.mix(docs).filter("sampled").select(*docs.columns)
+
+
+def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and place of every document; documents with the same first line are linked."""
+    first_line = F.sha2(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), 256)
+    return shards.shard_documents(docs, group=first_line)
+
+
+STAGES = [
+    ("quality classifier", good_documents),
+    ("n-gram Jaccard join", different_documents),
+    ("benchmark decontamination", clean_documents),
+    ("mixing sources", mixed_documents),
+    ("sharding", sharded_documents),
+]
+
+#: The classifier and the label propagation have no SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result but the last is written and read back."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -244,7 +244,8 @@ from documents d join classes on classes.a = d.doc_id left join counts on counts
 
 @query("op8_jaccard_join", OP8_SQL)
 def op8(spark, sf_dir):
-    return similar_sets.similarity_classes(table(spark, sf_dir, "documents"))
+    found = similar_sets.similarity_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_shingles")
 
 
 # The rounds of raking, three windows each, written out as one chain.

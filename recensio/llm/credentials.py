@@ -30,6 +30,13 @@ TOTAL, EACH = 12.0, 0.6
 TRAIN_TEXTS, TRAIN_WORDS = 2_000, 50
 
 _PRINTABLE = 128
+#: Words of usual names in code, paths and addresses.
+COMMON = (
+    "the and for with from this that name value count index file path table user usr local lib bin var home state order item list "
+    "number python java site packages package module class function method object string array map set get put post http https www "
+    "com org net example mail image page html json text data date time year month day test config default version release system "
+    "service server client request response error message event account address payment report element document window button"
+).split()
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -66,6 +73,10 @@ def _identifiers(words: list[str], seed: int = 13) -> list[str]:
             out.append("_".join(p.upper() for p in parts))
         else:
             out.append("/".join(parts) + rng.choice(["", str(rng.randrange(2030))]))
+        if rng.random() < 0.2:  # dates, rulers and plain numbers
+            day = f"{rng.randint(1990, 2035)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+            clock = f"{rng.randint(0, 23):02}-{rng.randint(0, 59):02}-{rng.randint(0, 59):02}"
+            out += [f"{day}-{clock}", rng.choice("-=_/+") * rng.randint(16, 60), str(rng.randrange(10**15, 10**19))]
     return out
 
 
@@ -81,9 +92,9 @@ def _logs(samples: list[str]) -> np.ndarray:
 def train(words: list[str]) -> np.ndarray:
     """Table of log-likelihood ratios, random over ordinary, for each pair of characters.
 
-    Without words the ordinary class knows common English ones.
+    ``COMMON`` words are always among the ordinary ones.
     """
-    words = words or "the and for with from this that name value count index file path table user state order item list number".split()
+    words = words + COMMON * (1 + len(words) // 1_000)
     return _logs(random_strings()) - _logs(_identifiers(words))
 
 

@@ -253,14 +253,14 @@ def similarity_classes(
     threshold: float = THRESHOLD,
     tolerance: float = TOLERANCE,
 ) -> DataFrame:
-    """``(doc_id, class_id, n_links, n_shingles)``, one row per row of ``docs``.
+    """``(doc_id, text_hash, class_id, n_links, n_shingles, group)``, one row per row of ``docs``.
 
     Two texts are linked if the Jaccard similarity of their sets of
     ``words``-word shingles is at least ``threshold``; words are lower-cased
     runs of letters, digits and non-ASCII characters, a shorter text is one
     shingle. ``n_links`` counts the linked rows, copies and repeated rows
     included; ``class_id`` is the smallest id among all rows that links connect
-    (null if none of them has one). Null texts and texts without words have no
+    (null if none of them has one), ``group`` a number of the class that is never null. Null texts and texts without words have no
     shingles, no links, and their own id as class. An empty table gives no
     rows; other columns are ignored. Sets are told apart by 64-bit hashes.
     """
@@ -320,12 +320,25 @@ def similarity_classes(
         "class",
         (F.col("copies") - 1 + F.coalesce("weight", F.lit(0))).alias("n_links"),
         F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("lowest")).alias("class_id"),
+        F.coalesce("component", "class").alias("group"),
     )
-    own = signed.select("doc_id", "class", "shingles")
-    return own.filter(F.col("class").isNotNull()).join(known, "class").select(
-        "doc_id", "class_id", "n_links", F.col("shingles").cast("long").alias("n_shingles")
-    ).unionByName(
-        own.filter(F.col("class").isNull()).select(
-            "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_shingles")
-        )
+    own = signed.select("doc_id", "text_hash", "class", F.col("shingles").cast("long").alias("n_shingles"))
+    none = F.lit(0).cast("long")
+    alone = own.filter(F.col("class").isNull()).withColumns(
+        {"class_id": F.col("doc_id"), "n_links": none, "group": F.xxhash64("doc_id", "text_hash")}
     )
+    return own.filter(F.col("class").isNotNull()).join(known, "class").unionByName(alone).drop("class")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id, rows without id last; repeated rows stay once.
+
+    Which of several texts of that id stays is settled by a hash. Columns stay as they are.
+    """
+    members = similarity_classes(docs, doc_id, text, **settings)
+    first = members.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
+    keepers = first.select(F.col("k.doc_id").alias("_keep_id"), F.col("k.text_hash").alias("_keep_text"))
+    keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_text": F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))})
+    same = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_text") == F.col("_keep_text"))
+    kept = keyed.join(keepers, same, "left_semi")
+    return kept.dropDuplicates(["_id", "_text"]).select(*docs.columns)
