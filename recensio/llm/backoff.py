@@ -19,85 +19,79 @@ a word is that word, so numpy moves all positions of a chunk at once.
 
 from __future__ import annotations
 
+from math import ceil, log2
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.llm import arrays as A
-from recensio.llm.chunks import chunked
+from recensio.llm.chunks import CHUNK_BYTES, chunk_table, chunked, table_of
 
 #: Bigrams seen less often get no arc (a count cutoff, as usual for such models).
 MIN_COUNT = 2
 DISCOUNT = 0.75
-#: Bytes of a word's number in a bigram; words that agree in them share a state.
-WIDTH = 6
 _END, _START = np.uint64(0x51ED270B7F3A6C15), np.uint64(0xA24BAED4963EE407)
-_SHIFT = np.uint64(64 - 8 * WIDTH)
-
-REQUEST = "to int, chunk int, part int, kind int, keys binary, extra binary, counts binary"
-REPLY = "chunk int, part int, kind int, counts binary, states binary, mass binary, tokens long, types long"
-
-
-def _tokens(table: pa.Table):
-    """Vocabulary of the chunk, its tokens and their contexts as places in it, their texts."""
-    hashes, text = A.word_hashes(table["text"], lower=True)
-    texts = table.num_rows
-    first, count = A.runs(text, texts)
-    starts = first + np.arange(texts)
-    tokens = np.empty(len(hashes) + texts, np.uint64)
-    tokens[np.arange(len(hashes)) + text] = hashes
-    tokens[starts + count] = _END
-    owner = np.repeat(np.arange(texts), count + 1)
-    vocabulary, places = np.unique(np.concatenate([tokens, [_START]]), return_inverse=True)
-    token = places[:-1]
-    context = np.empty_like(token)
-    context[1:] = token[:-1]
-    context[starts] = places[-1]
-    return vocabulary, token, context, owner, starts
-
-
-def _bigrams(vocabulary, token, context, buckets):
-    """Different bigrams of a chunk in the order of their buckets, and each token's place among them."""
-    size = np.int64(len(vocabulary))
-    pairs, place = np.unique(context * size + token, return_inverse=True)
-    a, b = vocabulary[pairs // size], vocabulary[pairs % size]
-    bucket = A.bucket_of(A.mix((a >> _SHIFT) * np.uint64(8) + ((b >> _SHIFT) & np.uint64(3))), buckets)
-    order = np.argsort(bucket, kind="stable")
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    return a[order] >> _SHIFT, b[order] >> _SHIFT, bucket[order], back[place]
-
-
-def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-_REQUEST = pa.schema(
-    [("to", pa.int32()), ("chunk", pa.int32()), ("part", pa.int32()), ("kind", pa.int32())]
-    + [(n, pa.binary()) for n in ("keys", "extra", "counts")]
-)
+
+REQUEST = "to int, chunk int, part int, kind int, keys binary, counts binary, extra binary"
+REPLY = "chunk int, part int, kind int, bits binary, counts binary, extra binary, tokens long, types long"
+_ints = lambda *names: [(n, pa.int32()) for n in names]
+_bytes = lambda *names: [(n, pa.binary()) for n in names]
+_REQUEST = pa.schema(_ints("to", "chunk", "part", "kind") + _bytes("keys", "counts", "extra"))
 _REPLY = pa.schema(
-    [("chunk", pa.int32()), ("part", pa.int32()), ("kind", pa.int32())]
-    + [(n, pa.binary()) for n in ("counts", "states", "mass")]
-    + [("tokens", pa.int64()), ("types", pa.int64())]
+    _ints("chunk", "part", "kind") + _bytes("bits", "counts", "extra") + [("tokens", pa.int64()), ("types", pa.int64())]
 )
-_WORDS, _ARCS, _STATES = 0, 1, 2
+_WORDS, _ARCS = 0, 1
 
 
-def _ask_words(buckets: int):
+class _Walk:
+    """Tokens of a chunk with their contexts, as hashes and as places in its vocabulary and bigrams."""
+
+    def __init__(self, table: pa.Table):
+        hashes, text = A.word_hashes(table["text"], lower=True)
+        texts = table.num_rows
+        first, count = A.runs(text, texts)
+        starts = first + np.arange(texts)
+        tokens = np.empty(len(hashes) + texts, np.uint64)
+        tokens[np.arange(len(hashes)) + text] = hashes
+        tokens[starts + count] = _END
+        context = np.empty_like(tokens)
+        context[1:] = tokens[:-1]
+        context[starts] = _START
+        self.owner = np.repeat(np.arange(texts, dtype=np.int32), count + 1)
+        self.train = table["train"].to_numpy(zero_copy_only=False).astype(bool)
+        self.tokens, self.context = tokens, context
+
+    def bigrams(self) -> tuple[np.ndarray, np.ndarray]:
+        pairs = A.mix(self.context * np.uint64(0x9E3779B97F4A7C15) + self.tokens)
+        return np.unique(pairs, return_inverse=True)
+
+    def words(self) -> tuple[np.ndarray, np.ndarray]:
+        words, place = np.unique(np.concatenate([self.tokens, [_START]]), return_inverse=True)
+        return words, place[:-1]
+
+    def trained(self, place: np.ndarray, n: int) -> np.ndarray:
+        """Occurrences in training texts."""
+        return np.bincount(place[self.train[self.owner]], minlength=n)
+
+
+def _cut(sorted_hashes: np.ndarray, buckets: int) -> list[tuple[int, int]]:
+    cut = A.slices(A.bucket_of(sorted_hashes, buckets), buckets)
+    return list(zip(cut[:-1], cut[1:], strict=True))
+
+
+def _ask_bigrams(buckets: int, width: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        walk = _Walk(chunk_table(table))
+        pairs, place = walk.bigrams()
+        counts = walk.trained(place, len(pairs))
         chunk = key[0].as_py()
-        vocabulary, token, context, owner, starts = _tokens(table)
-        train = table["train"].to_numpy(zero_copy_only=False).astype(bool)
-        counts = np.bincount(token[train[owner]], minlength=len(vocabulary))
-        counts[np.searchsorted(vocabulary, _START)] = train.sum()
-        cut = A.slices(A.bucket_of(vocabulary, buckets), buckets)
-        return _table(
+        return table_of(
             [
-                (b, chunk, b, _WORDS, vocabulary[i:j].tobytes(), None, A.pack(counts[i:j]))
-                for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False))
+                (b, chunk, b, _ARCS, A.pack_low(pairs[i:j], width), A.pack(counts[i:j]), None)
+                for b, (i, j) in enumerate(_cut(pairs, buckets))
+                if i < j
             ],
             _REQUEST,
         )
@@ -105,139 +99,142 @@ def _ask_words(buckets: int):
     return ask
 
 
-def _ask_bigrams(buckets: int):
-    def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        chunk = key[0].as_py()
-        vocabulary, token, context, owner, _ = _tokens(table)
-        a, b, bucket, place = _bigrams(vocabulary, token, context, buckets)
-        train = table["train"].to_numpy(zero_copy_only=False).astype(bool)
-        counts = np.bincount(place[train[owner]], minlength=len(a))
-        cut = A.slices(bucket, buckets)
-        rows = []
-        for n, (i, j) in enumerate(zip(cut, cut[1:], strict=False)):
-            if i < j:
-                begins = np.flatnonzero(np.concatenate([[True], a[i + 1 : j] != a[i : j - 1]]))
-                lengths = np.diff(np.append(begins, j - i))
-                heads = A.pack_low(a[i:j][begins], WIDTH)
-                rows.append(
-                    (n, chunk, n, _ARCS, A.pack_low(b[i:j], WIDTH), len(heads).to_bytes(8, "little") + heads + A.pack(lengths), A.pack(counts[i:j]))
-                )
-        return _table(rows, _REQUEST)
-
-    return ask
-
-
-def _count_bigrams(buckets: int, min_count: int):
-    """Tell each chunk which of its bigrams are arcs, and each word bucket the mass of its states."""
+def _count_bigrams(width: int, min_count: int):
+    """Tell each chunk which of its bigrams are arcs, their counts, and which of them it has to report."""
 
     def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        firsts, seconds, counts, sizes = [], [], [], []
-        for keys, extra, n in zip(table["keys"], table["extra"], table["counts"], strict=True):
-            extra = extra.as_py()
-            size = int.from_bytes(extra[:8], "little")
-            firsts.append(np.repeat(A.unpack_low(extra[8 : 8 + size], WIDTH), A.unpack(extra[8 + size :])))
-            seconds.append(A.unpack_low(keys.as_py(), WIDTH))
-            counts.append(A.unpack(n.as_py()))
-            sizes.append(len(seconds[-1]))
-        a, b, n = map(np.concatenate, (firsts, seconds, counts))
-        order = np.lexsort((b, a))
-        new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])
-        group = np.empty(len(a), np.int64)
-        group[order] = np.cumsum(new) - 1
-        total = np.bincount(group, weights=n).astype(np.int64)
-        arc = total >= min_count
-        rows, part = [], table["part"][0].as_py()
-        ends = np.cumsum(sizes)
-        for chunk, i, j in zip(table["chunk"].to_pylist(), ends - sizes, ends, strict=True):
-            mine = group[i:j]
-            kept = arc[mine]
-            # the answer passes through a word bucket, so that one exchange brings both kinds to the chunk
-            rows.append((part, chunk, part, _ARCS, A.pack_bits(kept), int(j - i).to_bytes(8, "little"), A.pack(total[mine][kept])))
-        state = a[order][new][arc]
-        if len(state):
-            states, at = np.unique(state, return_inverse=True)
-            kinds, mass = np.bincount(at), np.bincount(at, weights=total[arc]).astype(np.int64)
-            cut = A.slices(A.bucket_of(states << _SHIFT, buckets), buckets)
-            rows += [
-                (w, -1, part, _STATES, states[i:j].tobytes(), A.pack(kinds[i:j]), A.pack(mass[i:j]))
-                for w, (i, j) in enumerate(zip(cut, cut[1:], strict=False))
-                if i < j
-            ]
-        return _table(rows, _REQUEST)
+        rows = sorted(table.to_pylist(), key=lambda r: r["chunk"])
+        keys = [A.unpack_low(r["keys"], width) for r in rows]
+        _, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total = np.bincount(place, weights=np.concatenate([A.unpack(r["counts"]) for r in rows])).astype(np.int64)
+        out, j = [], 0
+        for r, k in zip(rows, keys, strict=True):
+            i, j = j, j + len(k)
+            arc = total[place[i:j]] >= min_count
+            mine = (first[place[i:j]] == np.arange(i, j))[arc]
+            out.append((r["chunk"], r["part"], _ARCS, A.pack_bits(arc), A.pack(total[place[i:j]][arc]), A.pack_bits(mine), 0, 0))
+        return table_of(out, _REPLY)
 
     return count
 
 
-def _count_words(discount: float):
-    def count(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        out = [
-            (r["chunk"], r["part"], _ARCS, r["counts"], r["extra"], r["keys"], 0, 0) for r in rows if r["kind"] == _ARCS
-        ]
-        asked = [r for r in rows if r["kind"] == _WORDS]
-        keys = [np.frombuffer(r["keys"], np.uint64) for r in asked]
-        if not asked:
-            return _table(out, _REPLY)
-        words, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.concatenate([A.unpack(r["counts"]) for r in asked])
-        total = np.bincount(place, weights=counts, minlength=len(words)).astype(np.int64)
-        states, state = np.unique(words >> _SHIFT, return_inverse=True)
-        at_state = np.bincount(state, weights=total, minlength=len(states))
-        spent = np.zeros(len(states))
-        for r in rows:
-            if r["kind"] == _STATES:
-                to = np.searchsorted(states, np.frombuffer(r["keys"], np.uint64))
-                np.add.at(spent, to, A.unpack(r["counts"]) - discount * A.unpack(r["extra"]))
-        failure = 1 - spent / np.maximum(at_state, 1)
-        real = words != _START
-        tokens, types = int(total[real].sum()), int((total[real] > 0).sum())
-        ends = np.cumsum([len(k) for k in keys])
-        for r, k, j in zip(asked, keys, ends, strict=True):
-            mine = place[j - len(k) : j]
-            has = spent[state[mine]] > 0
-            mass = np.stack([at_state[state[mine]][has], failure[state[mine]][has]]).tobytes()
-            out.append((r["chunk"], r["part"], _WORDS, A.pack(total[mine]), A.pack_bits(has), mass, tokens, types))
-        return _table(out, _REPLY)
+def _arcs(pairs: np.ndarray, replies: list[dict], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Count of each bigram that is an arc, else 0, and whether this chunk reports it."""
+    counts, mine = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
+    cut = _cut(pairs, buckets)
+    for r in replies:
+        if r["kind"] == _ARCS:
+            i, j = cut[r["part"]]
+            at = i + np.flatnonzero(A.unpack_bits(r["bits"], j - i))
+            counts[at] = A.unpack(r["counts"])
+            mine[at] = A.unpack_bits(r["extra"], len(at))
+    return counts, mine
 
-    return count
 
+def _ask_words(buckets: int):
+    """Count the chunk's words, and the mass and number of the arcs it reports, per state."""
+
+    def ask(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
+        chunk, answers = key[0].as_py(), replies.to_pylist()
+        walk = _Walk(chunk_table(table))
+        pairs, pair = walk.bigrams()
+        count, mine = _arcs(pairs, answers, buckets)
+        example = np.empty(len(pairs), np.int64)
+        example[pair] = np.arange(len(pair))
+        words, place = walk.words()
+        state = np.searchsorted(words, walk.context[example[mine]])
+        mass = np.bincount(state, weights=count[mine], minlength=len(words)).astype(np.int64)
+        arcs = np.bincount(state, minlength=len(words))
+        counts = walk.trained(place, len(words))
+        counts[np.searchsorted(words, _START)] = walk.train.sum()
+        # answers on bigrams pass through the word buckets, so that one exchange brings both kinds to the chunk
+        rows = [(r["part"], chunk, r["part"], _ARCS, r["bits"], r["counts"], r["extra"]) for r in answers]
+        for b, (i, j) in enumerate(_cut(words, buckets)):
+            has = arcs[i:j] > 0
+            extra = _joined([A.pack_bits(has), A.pack(mass[i:j][has]), A.pack(arcs[i:j][has])])
+            rows.append((b, chunk, b, _WORDS, words[i:j].tobytes(), A.pack(counts[i:j]), extra))
+        return table_of(rows, _REQUEST)
+
+    return ask
 
-def _score(buckets: int, discount: float, keep: list[str], fields: pa.Schema):
+
+def _joined(parts: list[bytes]) -> bytes:
+    return b"".join(len(p).to_bytes(4, "little") + p for p in parts)
+
+
+def _parts(data: bytes) -> list[bytes]:
+    out = []
+    while data:
+        n = int.from_bytes(data[:4], "little")
+        out.append(data[4 : 4 + n])
+        data = data[4 + n :]
+    return out
+
+
+def _count_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    rows = table.to_pylist()
+    out = [(r["chunk"], r["part"], _ARCS, r["keys"], r["counts"], r["extra"], 0, 0) for r in rows if r["kind"] == _ARCS]
+    asked = [r for r in rows if r["kind"] == _WORDS]
+    keys = [np.frombuffer(r["keys"], np.uint64) for r in asked]
+    words, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
+    total, mass, arcs = (np.zeros(len(words), np.int64) for _ in range(3))
+    j = 0
+    for r, k in zip(asked, keys, strict=True):
+        i, j = j, j + len(k)
+        total[place[i:j]] += A.unpack(r["counts"])
+        has, m, a = _parts(r["extra"])
+        at = place[i:j][A.unpack_bits(has, len(k))]
+        mass[at] += A.unpack(m)
+        arcs[at] += A.unpack(a)
+    real = words != _START
+    tokens, types = int(total[real].sum()), int((total[real] > 0).sum())
+    j = 0
+    for r, k in zip(asked, keys, strict=True):
+        i, j = j, j + len(k)
+        mine = place[i:j]
+        has = arcs[mine] > 0
+        spent = _joined([A.pack(mass[mine][has]), A.pack(arcs[mine][has])])
+        out.append((r["chunk"], r["part"], _WORDS, A.pack_bits(has), A.pack(total[mine]), spent, tokens, types))
+    return table_of(out, _REPLY)
+
+
+
+def _score(buckets: int, discount: float, fields: pa.Schema):
     def score(key: tuple[pa.Scalar, ...], table: pa.Table, replies: pa.Table) -> pa.Table:
         if not table.num_rows:
             return fields.empty_table()
-        vocabulary, token, context, owner, _ = _tokens(table)
-        _, _, bucket, place = _bigrams(vocabulary, token, context, buckets)
-        rows = sorted(replies.to_pylist(), key=lambda r: r["part"])
-        words = [r for r in rows if r["kind"] == _WORDS]
-        n, v = sum(r["tokens"] for r in words), sum(r["types"] for r in words)
-        c = np.concatenate([A.unpack(r["counts"]) for r in words])
-        at_state, failure = np.ones(len(c)), np.ones(len(c))
-        cut = A.slices(A.bucket_of(vocabulary, buckets), buckets)
-        for r in words:
-            i, j = cut[r["part"]], cut[r["part"] + 1]
-            has = i + np.flatnonzero(A.unpack_bits(r["states"], j - i))
-            at_state[has], failure[has] = np.frombuffer(r["mass"], np.float64).reshape(2, -1)
-        arc = np.zeros(len(bucket))
-        cut = A.slices(bucket, buckets)
-        for r in rows:
-            if r["kind"] == _ARCS:
-                i, size = cut[r["part"]], int.from_bytes(r["states"], "little")
-                arc[i + np.flatnonzero(A.unpack_bits(r["mass"], size))] = A.unpack(r["counts"])
+        rows, answers = chunk_table(table), replies.to_pylist()
+        walk = _Walk(rows)
+        pairs, pair = walk.bigrams()
+        seen = _arcs(pairs, answers, buckets)[0][pair]
+        del pairs, pair
+        words, place = walk.words()
+        c, failure = np.zeros(len(words), np.int64), np.ones(len(words))
+        n = v = 0
+        cut = _cut(words, buckets)
+        for r in answers:
+            if r["kind"] == _WORDS:
+                i, j = cut[r["part"]]
+                c[i:j] = A.unpack(r["counts"])
+                has = i + np.flatnonzero(A.unpack_bits(r["bits"], j - i))
+                mass, arcs = map(A.unpack, _parts(r["extra"]))
+                failure[has] = 1 - (mass - discount * arcs) / c[has]
+                n, v = n + r["tokens"], v + r["types"]
         unigram = (c + 1) / (n + v + 1)
-        seen = arc[place]
-        p = failure[context] * unigram[token]
-        p += np.where(seen > 0, (seen - discount) / at_state[context], 0.0)
-        texts = table.num_rows
-        total = lambda x: np.bincount(owner, weights=x, minlength=texts)
+        state = np.searchsorted(words, walk.context)
+        p = failure[state] * unigram[place]
+        arc = np.flatnonzero(seen)
+        p[arc] += (seen[arc] - discount) / c[state[arc]]
+        texts = rows.num_rows
+        total = lambda x: np.bincount(walk.owner, weights=x, minlength=texts)
         values = {
-            "n_tokens": np.bincount(owner, minlength=texts),
-            "n_known": total(c[token] > 0).astype(np.int64),
+            "n_tokens": np.bincount(walk.owner, minlength=texts),
+            "n_known": total(c[place] > 0).astype(np.int64),
             "train_tokens": np.full(texts, n),
-            "base_score": total(np.log10(unigram)[token]),
+            "base_score": total(np.log10(unigram)[place]),
             "score": total(np.log10(p)),
         }
-        columns = [table[x] for x in keep] + [pa.array(values[x], fields.field(x).type) for x in list(values)]
+        columns = [rows["doc_id"], rows["train"]] + [pa.array(x, fields.field(name).type) for name, x in values.items()]
         return pa.table(columns, schema=fields)
 
     return score
@@ -257,28 +254,25 @@ def score_texts(
     lower-cased words and one end per text; null text is empty and has the end
     only. Repeated rows count as often as they occur. Rows without id are
     scored like others. An empty table gives no rows; without training rows
-    every word is unknown. Other columns are ignored.
+    every word is unknown. Other columns are ignored. Words are told apart by
+    64-bit hashes, bigrams by so many bits that fewer than one in 2^28 is
+    taken for another.
     """
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).cast("string").alias("text")
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.coalesce(train, F.lit(False)).alias("train"),
+        F.col(text).cast("string").alias("text"),
     )
     dealt, buckets = chunked(rows, "doc_id", "text")
-    groups = lambda: dealt.groupBy("chunk")
+    width = min(8, ceil((log2(buckets * CHUNK_BYTES / 4) + 28 - log2(buckets)) / 8))
+    docs_of = lambda: dealt.groupBy("chunk")
     to = lambda df: df.repartition(buckets, "to").groupBy("to")
-    counted = to(groups().applyInArrow(_ask_bigrams(buckets), REQUEST)).applyInArrow(_count_bigrams(buckets, min_count), REQUEST)
-    asked = groups().applyInArrow(_ask_words(buckets), REQUEST)
-    replies = to(asked.unionByName(counted)).applyInArrow(_count_words(discount), REPLY)
-    kept = rows.select("doc_id", "train")
-    kind = {"n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double"}
-    schema = kept.schema.simpleString()[len("struct<") : -1] + "".join(f",{n}:{t}" for n, t in kind.items())
-    fields = _arrow_schema(rows, kind)
-    return groups().cogroup(replies.groupBy("chunk")).applyInArrow(_score(buckets, discount, ["doc_id", "train"], fields), schema)
-
-
-def _arrow_schema(rows: DataFrame, kind: dict[str, str]) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_type
-
-    own = [(f.name, to_arrow_type(f.dataType)) for f in rows.select("doc_id", "train").schema]
-    return pa.schema(own + [(n, pa.int64() if t == "long" else pa.float64()) for n, t in kind.items()])
-
-
+    arcs = to(docs_of().applyInArrow(_ask_bigrams(buckets, width), REQUEST)).applyInArrow(_count_bigrams(width, min_count), REPLY)
+    asked = docs_of().cogroup(arcs.groupBy("chunk")).applyInArrow(_ask_words(buckets), REQUEST)
+    replies = to(asked).applyInArrow(_count_words, REPLY)
+    kinds = [("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")]
+    fields = pa.schema(
+        [("doc_id", pa.int64()), ("train", pa.bool_())] + [(n, pa.int64() if t == "long" else pa.float64()) for n, t in kinds]
+    )
+    schema = "doc_id long, train boolean, " + ", ".join(f"{n} {t}" for n, t in kinds)
+    return docs_of().cogroup(replies.groupBy("chunk")).applyInArrow(_score(buckets, discount, fields), schema)

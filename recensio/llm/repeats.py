@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recensio.llm import arrays as A
-from recensio.llm.chunks import chunked
+from recensio.llm.chunks import chunk_table, chunked, table_of
 
 LENGTH = 13
 SEED = 5
@@ -35,11 +35,6 @@ _REPLY = pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("kind", pa.int
 _ANCHORS, _WINDOWS = 0, 1
 
 
-def _table(rows, schema):
-    columns = list(zip(*rows, strict=True)) if rows else [[] for _ in schema]
-    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
 class _Chunk:
     """Words, windows and anchors of the documents of a chunk."""
 
@@ -75,10 +70,10 @@ def _shared_here(values: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
 
 def _ask_anchors(length: int, seed: int, buckets: int):
     def ask(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        c = _Chunk(table, length, seed)
+        c = _Chunk(chunk_table(table), length, seed)
         both = _shared_here(c.anchor, c.owner, len(c.anchors))
         cut = A.slices(A.bucket_of(c.anchors, buckets), buckets)
-        return _table(
+        return table_of(
             [
                 (b, key[0].as_py(), b, _ANCHORS, c.anchors[i:j].tobytes(), A.pack_bits(both[i:j]))
                 for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False))
@@ -104,7 +99,7 @@ def _share_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     shared = np.bincount(place, minlength=len(values)) > 1
     for r, (i, j) in zip(rows, bounds, strict=True):
         shared[place[i:j][A.unpack_bits(r["extra"], j - i)]] = True
-    return _table([(r["chunk"], r["part"], _ANCHORS, A.pack_bits(shared[place[i:j]])) for r, (i, j) in zip(rows, bounds, strict=True)], _REPLY)
+    return table_of([(r["chunk"], r["part"], _ANCHORS, A.pack_bits(shared[place[i:j]])) for r, (i, j) in zip(rows, bounds, strict=True)], _REPLY)
 
 
 def _extended(c: _Chunk, replies: list[dict], buckets: int):
@@ -128,14 +123,14 @@ def _ask_windows(length: int, seed: int, buckets: int):
         # answers on anchors go along to the last pass, so that one exchange brings both kinds to the chunk
         rows = [(r["part"], chunk, r["part"], _ANCHORS, r["bits"], None) for r in answers]
         if table.num_rows:
-            _, values, _, least = _extended(_Chunk(table, length, seed), answers, buckets)
+            _, values, _, least = _extended(_Chunk(chunk_table(table), length, seed), answers, buckets)
             cut = A.slices(A.bucket_of(values, buckets), buckets)
             rows += [
                 (b, chunk, b, _WINDOWS, values[i:j].tobytes(), least[i:j].tobytes())
                 for b, (i, j) in enumerate(zip(cut, cut[1:], strict=False))
                 if i < j
             ]
-        return _table(rows, _REQUEST)
+        return table_of(rows, _REQUEST)
 
     return ask
 
@@ -151,7 +146,7 @@ def _first_owners(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         np.minimum.at(least, place, owner)
         earlier = least[place] < owner
         out += [(r["chunk"], r["part"], _WINDOWS, A.pack_bits(earlier[i:j])) for r, (i, j) in zip(rows, bounds, strict=True)]
-    return _table(out, _REPLY)
+    return table_of(out, _REPLY)
 
 
 def _remove(length: int, seed: int, buckets: int, fields: pa.Schema):
@@ -159,7 +154,8 @@ def _remove(length: int, seed: int, buckets: int, fields: pa.Schema):
         if not table.num_rows:
             return fields.empty_table()
         answers = replies.to_pylist()
-        c = _Chunk(table, length, seed)
+        rows = chunk_table(table)
+        c = _Chunk(rows, length, seed)
         around, values, place, least = _extended(c, answers, buckets)
         elsewhere = np.zeros(len(values), bool)
         cut = A.slices(A.bucket_of(values, buckets), buckets)
@@ -173,7 +169,7 @@ def _remove(length: int, seed: int, buckets: int, fields: pa.Schema):
         np.add.at(edge, begins, 1)
         np.add.at(edge, begins + length, -1)
         gone = np.cumsum(edge[:-1]) > 0
-        return _answer(c, gone, table, fields)
+        return _answer(c, gone, rows, fields)
 
     return remove
 
