@@ -13,48 +13,58 @@ SHARDS = 8
 SPLIT = 16
 
 
+def _quotas(flow: dict[tuple[int, int], int], load: dict[int, int], capacity: int, shards: int) -> list[float]:
+    """Share of those who want to come that each shard admits: its free places and those of the leaving."""
+    quota = [1.0] * shards
+    for _ in range(50):
+        for to in range(shards):
+            coming = sum(n for (_, k), n in flow.items() if k == to)
+            leaving = sum(n * quota[k] for (s, k), n in flow.items() if s == to)
+            room = capacity - load.get(to, 0) + leaving
+            quota[to] = min(quota[to], max(0.0, room / coming)) if coming else 1.0
+    return quota
+
+
 def _gathered(rows: DataFrame, capacity: int, shards: int, rounds: int) -> DataFrame:
     """Move linked documents to the shard that holds most of their group, while it has room.
 
     ``rows(row, group, group_size, shard)``. Votes are counted per group and
-    shard before any join, so a group never meets itself. In every round each shard admits a
-    share of those who want to come, by a hash, that its free places allow;
-    only shards with room get votes, so what a full shard turned away looks
-    elsewhere in the next round.
+    shard before any join, so a group never meets itself. In every round each
+    shard admits, by a hash, the share of those who want to come that its
+    free and vacated places allow. A shard that a group nearly fills takes no
+    more of it, so the rest gathers in another.
     """
-    spread = F.when(F.col("group_size") * SPLIT > capacity, F.xxhash64("row", F.lit(1))).otherwise(F.xxhash64("group", F.lit(1)))
+    spread = F.when(F.col("group_size") * SPLIT > capacity, F.xxhash64("row", "round")).otherwise(F.xxhash64("group", "round"))
     chance = (F.shiftright(spread, 32) + F.lit(2**31)) / F.lit(2.0**32)
     rows = materialize(rows)
-    for _ in range(rounds):
-        votes = materialize(rows.groupBy("group", "group_size", "shard").agg(F.count(F.lit(1)).alias("n")))
+    full: list[int] = []  # shards that the round before has filled
+    for turn in range(rounds):
+        votes = materialize(rows.groupBy("group", "shard").agg(F.count(F.lit(1)).alias("n")))
         load = {r["shard"]: r["n"] for r in votes.groupBy("shard").agg(F.sum("n").alias("n")).collect()}  # one number a shard
-        free = {s: max(0, capacity - load.get(s, 0)) for s in range(shards)}
-        room = [s for s in range(shards) if free[s] > 0]
-        if not room:
-            break
         best = (
-            votes.filter(F.col("shard").isin(room))
+            votes.filter((F.col("n") < 0.9 * capacity) & ~F.col("shard").isin([-1, *full]))
             .groupBy("group")
             .agg(F.max(F.struct("n", F.xxhash64("group", "shard").alias("h"), "shard")).alias("b"))
-            .select("group", F.col("b.shard").alias("goal"), F.col("b.n").alias("there"))
+            .select("group", F.col("b.shard").alias("goal"), F.col("b.n").alias("there"), F.col("b.h").alias("h"))
         )
-        wishes = votes.join(best, "group").filter(
-            (F.col("shard") != F.col("goal"))
-            & ((F.col("there") > F.col("n")) | ((F.col("there") == F.col("n")) & (F.xxhash64("group", "goal") > F.xxhash64("group", "shard"))))
+        more = (F.col("there") > F.col("n")) | ((F.col("there") == F.col("n")) & (F.col("h") > F.xxhash64("group", "shard")))
+        wishes = materialize(
+            votes.join(best, "group")
+            .filter((F.col("shard") != F.col("goal")) & more & (F.col("n") < 0.9 * capacity))
+            .select("group", "shard", "goal", "n")
         )
-        # from a full shard with more of the group nobody leaves: that would cut edges
-        wishes = materialize(wishes.select("group", "shard", "goal", "n"))
-        wanted = {r["goal"]: r["n"] for r in wishes.groupBy("goal").agg(F.sum("n").alias("n")).collect()}
-        if not wanted:
+        flow = {(r["shard"], r["goal"]): r["n"] for r in wishes.groupBy("shard", "goal").agg(F.sum("n").alias("n")).collect()}
+        if not flow and not full:
             break
-        quota = F.create_map(*[F.lit(x) for s, n in wanted.items() for x in (s, min(1.0, free[s] / n))])
-        moved = (
+        quotas = _quotas(flow, load, capacity, shards)
+        full = [s for s, q in enumerate(quotas) if q < 0.99]
+        go = chance < F.element_at(F.array(*[F.lit(q) for q in quotas]), F.col("goal") + 1)
+        rows = materialize(
             rows.join(wishes.select("group", "shard", "goal"), ["group", "shard"], "left")
-            .withColumn("quota", quota[F.col("goal")])
-            .withColumn("shard", F.when(chance < F.col("quota"), F.col("goal")).otherwise(F.col("shard")))
+            .withColumn("round", F.lit(turn))
+            .withColumn("shard", F.when(F.col("goal").isNotNull() & go, F.col("goal")).otherwise(F.col("shard")))
             .select("row", "group", "group_size", "shard")
         )
-        rows = materialize(moved)
     return rows
 
 
@@ -64,7 +74,7 @@ def shard_documents(
     text: str = "text",
     shards: int = SHARDS,
     group: Column | None = None,
-    rounds: int = 6,
+    rounds: int = 12,
 ) -> DataFrame:
     """``(doc_id, size, text_crc32, shard, slot, group_size)``, one row per row of ``docs``.
 
