@@ -1,8 +1,8 @@
 """Registered queries and, next to each, the SQL that must give the same rows."""
 
-from recensio.catalog import base, features, labels, language, similar, sources, summary, text, topics
+from recensio.catalog import base, checks, features, labels, language, similar, sources, summary, text, topics
 
-__all__ = ["base", "features", "labels", "language", "similar", "sources", "summary", "text", "topics"]
+__all__ = ["base", "checks", "features", "labels", "language", "similar", "sources", "summary", "text", "topics"]
 
 
 def queries():

@@ -32,7 +32,7 @@ dfs as (select t, count(distinct review_id) as df from (select review_id, unnest
 vocab as (select t, ln((1.0 + (select count(*) from noisy)) / (1.0 + df)) + 1.0 as idf from dfs),
 cut as (select quantile_cont(idf, 0.9) as q, max(idf) as top from vocab),
 raw as (select review_id, unnest(regexp_extract_all(review, '\\S+')) as t from noisy where review is not null),
-ratio as (select review_id, avg(cast(coalesce(idf, (select top from cut)) > (select q from cut) + 1e-12 as int)) as r
+ratio as (select review_id, avg(cast(coalesce(idf, (select top from cut)) > (select q from cut) as int)) as r
           from raw left join vocab using (t) group by review_id)"""
 
 SIMPLE = {

@@ -85,13 +85,13 @@ def m05(spark, sf_dir):
     return tp.class_tfidf(counts).withColumn("weight", F.round("weight", 9))
 
 
-@query(
-    "m06_topic_info",
-    f"""{WORDS_CTE}, names as (select topic, string_agg(term, '_' order by rank) as terms from ranked
-      where rank <= 4 group by topic)
-    select topic, count(*) as count, topic || '_' || any_value(terms) as name
-    from assigned join names using (topic) group by topic""",
-)
+INFO_SQL = f"""{WORDS_CTE}, names as (select topic, string_agg(term, '_' order by rank) as terms from ranked
+  where rank <= 4 group by topic)
+select topic, count(*) as count, topic || '_' || any_value(terms) as name
+from assigned join names using (topic) group by topic"""
+
+
+@query("m06_topic_info", INFO_SQL)
 def m06(spark, sf_dir):
     info = tp.topic_info(assigned(spark, sf_dir).select("doc_id", "topic"), words(spark, sf_dir))
     return info.select("topic", "count", "name")
@@ -214,17 +214,22 @@ def m10(spark, sf_dir):
     return evaluate.match_taxonomy(found, label_vectors(spark, sf_dir))
 
 
-@query("m10b_match_taxonomy_by_words")
-def m10b(spark, sf_dir):
-    texts = evaluate.topic_texts(words(spark, sf_dir))
-    found = texts.join(encode.encode_words(texts, "topic", "words"), "topic")
+def label_words(spark, sf_dir, k=3):
+    """Sources as labels, coded by the k heaviest words of their own texts."""
     sources = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("pos"))
-    named = words(spark, sf_dir, 3).groupBy("topic").agg(F.collect_list("term").alias("terms"))
+    named = words(spark, sf_dir, k).groupBy("topic").agg(F.collect_list("term").alias("terms"))
     labels = named.select(
         F.concat(F.lit("src"), (F.col("topic") + 1).cast("string")).alias("source"), "terms"
     ).join(sources, "source")
     coded = encode.encode_words(labels, "source", "terms").join(sources, "source")
-    return evaluate.match_taxonomy(found, coded.select(F.col("source").alias("label"), "pos", "vector"))
+    return coded.select(F.col("source").alias("label"), "pos", "vector")
+
+
+@query("m10b_match_taxonomy_by_words")
+def m10b(spark, sf_dir):
+    texts = evaluate.topic_texts(words(spark, sf_dir))
+    found = texts.join(encode.encode_words(texts, "topic", "words"), "topic")
+    return evaluate.match_taxonomy(found, label_words(spark, sf_dir))
 
 
 @query("m11_topic_map")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.operators.scale import rank_in_group
@@ -22,19 +22,23 @@ def feature_matrix(
     numeric: Sequence[str] = NUMERIC,
     date: str = DATE,
     target: str = "sentiment",
+    learn_from: Column | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Rows without gaps plus ``features``; also the name of every feature.
 
-    Categories become one-hot columns, the date its seconds since 1970.
+    Categories become one-hot columns, the date its seconds since 1970. Only the
+    rows of ``learn_from`` (default: all) say which categories there are; another
+    value has no column and gives zeros. Names of categories are held by the
+    driver, as the importances of a forest are.
     """
     used = [*categorical, *numeric, date]
     full = df.na.drop(subset=[*used, target]).withColumn("_date", F.unix_date(F.col(date)).cast("double") * 86400)
     index = StringIndexer(
         inputCols=list(categorical), outputCols=[f"_i_{c}" for c in categorical], handleInvalid="keep"
-    ).fit(full)
+    ).fit(full if learn_from is None else full.filter(learn_from))
     hot = OneHotEncoder(
         inputCols=[f"_i_{c}" for c in categorical], outputCols=[f"_o_{c}" for c in categorical],
-        handleInvalid="keep", dropLast=True,
+        dropLast=True,  # the last place stands for other values
     )
     indexed = index.transform(full)
     coded = hot.fit(indexed).transform(indexed)
@@ -43,7 +47,7 @@ def feature_matrix(
     ).transform(coded)
     names = []
     for column, labels in zip(categorical, index.labelsArray):
-        names += [f"{column}_{label}" for label in labels] + [f"{column}_unknown"]
+        names += [f"{column}_{label}" for label in labels]
     names += [*numeric, date]
     extra = [c for c in matrix.columns if c.startswith(("_i_", "_o_"))]
     return matrix.drop("_date", *extra), names

@@ -19,18 +19,19 @@ HOT_SHARE = 1_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` (reading at most ``rows`` + 1 rows) against the limits."""
-    measured = (
-        df.limit(rows + 1)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size"),
-        )
-        .first()
-    )
+    """Measure ``df`` against the limits; one row per task is moved for it."""
+    measured = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))).alias("size"),
+    ).first()
     return measured["n"] <= rows and (measured["size"] or 0) <= size
 
 
+def hinted(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it fits, else as it is."""
+    return F.broadcast(df) if fits_broadcast(df, rows) else df
+
+
 def lookup_join(
     facts: DataFrame,
     dim: DataFrame,
@@ -42,8 +43,9 @@ def lookup_join(
     """Join ``facts`` to ``dim``, which holds each key once.
 
     Small ``dim``: broadcast. Otherwise the keys that cover more than
-    1/HOT_SHARE of the facts are looked up through a broadcast of at most
-    HOT_SHARE rows, and only the evenly spread rest is shuffled.
+    1/HOT_SHARE of the facts, whether ``dim`` has them or not, are set apart
+    through a broadcast of at most HOT_SHARE keys; rows with a null key, which
+    match nothing, are set apart too, and only the evenly spread rest is shuffled.
     ``seen`` names a column of ``dim`` that already holds the fact rows per key.
     """
     on = list(on)
@@ -51,15 +53,20 @@ def lookup_join(
         return facts.join(F.broadcast(dim), on, how)
     if seen:
         total = dim.agg(F.sum(seen).alias("n")).first()["n"]
-        hot = dim.filter(F.col(seen) * HOT_SHARE > F.lit(total))
+        hot_keys = dim.filter(F.col(seen) * HOT_SHARE > F.lit(total)).select(*on)
     else:
         per_key = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
         total = facts.count()
         hot_keys = per_key.filter(F.col("_n") * HOT_SHARE > F.lit(total)).select(*on)
-        hot = dim.join(F.broadcast(hot_keys), on, "left_semi")
-    probed = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), on, "left")
-    found = probed.filter(F.col("_hot")).drop("_hot")
-    rest = probed.filter(F.col("_hot").isNull()).select(*facts.columns)
+    hot_keys = materialize(hot_keys)
+    hot = materialize(dim.join(F.broadcast(hot_keys), on, "left_semi"))
+    probed = facts.join(F.broadcast(hot_keys.withColumn("_hot", F.lit(True))), on, "left")
+    known = F.lit(True)
+    for c in on:
+        known = known & F.col(c).isNotNull()
+    apart = probed.filter(F.col("_hot") | ~known).select(*facts.columns)
+    rest = probed.filter(F.col("_hot").isNull() & known).select(*facts.columns)
+    found = apart.join(hinted(hot, HOT_SHARE), on, how)
     return found.unionByName(rest.join(dim, on, how).select(*found.columns))
 
 
@@ -131,6 +138,26 @@ def number_rows(df: DataFrame, key: str, name: str = "row_index", start: int = 0
     )
 
 
+def number_in_order(df: DataFrame, order: Sequence[Column], name: str, start: int = 0) -> DataFrame:
+    """Consecutive numbers in any order, without one task that sees all rows.
+
+    Rows are dealt into ranges of the order and written; each range is ranked
+    alone and shifted by the rows in the ranges before it.
+    """
+    parts = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = materialize(df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_size"))  # one row a range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*order)
+    return (
+        ranged.withColumn("_rank", F.row_number().over(inside))
+        .join(F.broadcast(offsets), "_range")
+        .withColumn(name, F.col("_rank") - 1 + F.col("_offset") + F.lit(start))
+        .drop("_range", "_rank", "_offset")
+    )
+
+
 def exact_quantiles(
     df: DataFrame, group: str, value: str, points: dict[str, float], weight: str | None = None
 ) -> DataFrame:
@@ -147,15 +174,15 @@ def exact_quantiles(
         .groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v"))
         .agg(size.cast("long").alias("_n"))
     )
-    ranges = 64
+    ranges = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cuts = counts.groupBy("_g").agg(
-        F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 1000).alias("_cuts")
+        F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("_cuts")
     )
-    ranged = counts.join(cuts, "_g").select(
+    ranged = counts.join(hinted(cuts), "_g").select(
         "_g", "_v", "_n", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_r")
     )
     upto = Window.partitionBy("_g").orderBy("_r")
-    offsets = (
+    offsets = materialize(
         ranged.groupBy("_g", "_r")
         .agg(F.sum("_n").alias("_size"))
         .select(
@@ -168,21 +195,20 @@ def exact_quantiles(
     inside = Window.partitionBy("_g", "_r").orderBy("_v")
     placed = (
         ranged.withColumn("_upto", F.sum("_n").over(inside))
-        .join(offsets, ["_g", "_r"])
+        .join(hinted(offsets), ["_g", "_r"])
         .withColumn("_end", F.col("_offset") + F.col("_upto"))
         .withColumn("_begin", F.col("_end") - F.col("_n"))
     )
 
-    def at(position: Column, share: Column) -> Column:
-        hit = (F.col("_begin") <= position) & (position < F.col("_end"))
-        return F.when(hit, F.col("_v") * share).otherwise(F.lit(0.0))
+    def at(position: Column) -> Column:
+        return F.max(F.when((F.col("_begin") <= position) & (position < F.col("_end")), F.col("_v")))
 
     quantiles = []
     for name, p in points.items():
         exact = (F.col("_total") - 1) * F.lit(float(p))
-        low, high = F.floor(exact), F.ceil(exact)
-        part = exact - low
-        quantiles.append(F.sum(at(low, 1 - part) + F.when(high > low, at(high, part)).otherwise(0.0)).alias(name))
+        low, high = at(F.floor(exact)), at(F.ceil(exact))
+        # low + (high - low) * part gives the value itself between equal neighbours
+        quantiles.append((low + (high - low) * F.max(exact - F.floor(exact))).alias(name))
     return placed.groupBy(F.col("_g").alias(group)).agg(*quantiles)
 
 

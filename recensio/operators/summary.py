@@ -8,7 +8,7 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recensio.operators.scale import exact_quantiles
+from recensio.operators.scale import exact_quantiles, hinted
 from recensio.session import materialize
 
 
@@ -74,7 +74,7 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max(v).alias("max"),
     )
     spread = (
-        counts.join(basic.select("feature", "count", "mean"), "feature")
+        counts.join(hinted(basic.select("feature", "count", "mean")), "feature")
         .groupBy("feature", "count")
         .agg(F.sum(n * (v - F.col("mean")) * (v - F.col("mean"))).alias("squares"))
         .select("feature", F.when(F.col("count") > 1, F.sqrt(F.col("squares") / (F.col("count") - 1))).alias("std"))
@@ -115,7 +115,7 @@ def box_statistics(df: DataFrame, columns: Sequence[str], reach: float = 1.5) ->
     iqr = F.col("q75") - F.col("q25")
     inside = F.col("value").between(F.col("q25") - reach * iqr, F.col("q75") + reach * iqr)
     return (
-        counts.join(quartiles, "feature")
+        counts.join(hinted(quartiles), "feature")
         .groupBy("feature", *QUARTILES)
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
@@ -129,23 +129,31 @@ def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counted(df, columns).filter(F.col("value").isNotNull())
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    """Counts of ``row`` x ``column`` for the given column values."""
-    return (
-        df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
-        .groupBy(row)
-        .pivot(column, list(values))
-        .agg(count_rows())
-        .na.fill(0)
+def crosstab_counts(df: DataFrame, row: str, column: str) -> DataFrame:
+    """``(row, column, n, share)`` for all values that occur together; the share is that of the row's total."""
+    counts = materialize(
+        df.filter(F.col(row).isNotNull() & F.col(column).isNotNull()).groupBy(row, column).agg(count_rows().alias("n"))
     )
+    totals = counts.groupBy(row).agg(F.sum("n").alias("_total"))
+    return counts.join(hinted(totals), row).select(row, column, "n", (F.col("n") / F.col("_total")).alias("share"))
+
+
+def _wide(df: DataFrame, row: str, column: str, values: Sequence | None, cell: str) -> DataFrame:
+    counts = crosstab_counts(df, row, column)
+    return counts.groupBy(row).pivot(column, None if values is None else list(values)).agg(F.first(cell)).na.fill(0)
+
+
+def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
+    """Counts of ``row`` x ``column``, one column for each of ``values`` or of all values that occur.
+
+    For columns of very many values use the long form, ``crosstab_counts``.
+    """
+    return _wide(df, row, column, values, "n")
 
 
-def crosstab_shares(df: DataFrame, row: str, column: str, values: Sequence) -> DataFrame:
-    """Crosstab with each row divided by its own total."""
-    counts = crosstab(df, row, column, values)
-    names = [c for c in counts.columns if c != row]
-    total = sum((F.col(f"`{c}`") for c in names[1:]), F.col(f"`{names[0]}`"))
-    return counts.select(row, *[(F.col(f"`{c}`") / total).alias(c) for c in names])
+def crosstab_shares(df: DataFrame, row: str, column: str, values: Sequence | None = None) -> DataFrame:
+    """Crosstab with each row divided by its total over all values, listed or not."""
+    return _wide(df, row, column, values, "share")
 
 
 def monthly_volume(df: DataFrame, date: str = "review_date", counted_column: str = "review") -> DataFrame:

@@ -14,7 +14,7 @@ from recensio.functions.wordlists import TOPIC_NOISE_WORDS
 from recensio.operators.blocks import with_blocks
 from recensio.operators.density import NOISE, density_cluster
 from recensio.operators.encode import encode_documents, reduce_vectors
-from recensio.operators.scale import lookup_join
+from recensio.operators.scale import lookup_join, number_in_order
 from recensio.operators.vectors import cosine, dot
 from recensio.session import materialize
 
@@ -34,9 +34,8 @@ def enough_documents(df: DataFrame, least: int = MIN_DOCUMENTS) -> bool:
 def number_topics(clusters: DataFrame, key: str) -> DataFrame:
     """``(key, topic)``: clusters renumbered 0, 1, ... by falling size, noise -1."""
     sizes = clusters.filter(F.col("cluster") != NOISE).groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-    ranked = sizes.select(
-        "cluster", (F.row_number().over(Window.orderBy(F.desc("n"), "cluster")) - 1).alias("topic")
-    )
+    ranked = number_in_order(sizes, [F.desc("n"), F.asc("cluster")], "topic")
+    ranked = ranked.select("cluster", F.col("topic").cast("int").alias("topic"))
     return lookup_join(clusters, ranked, ["cluster"]).select(
         key, F.coalesce("topic", F.lit(NOISE)).alias("topic")
     )
@@ -176,12 +175,13 @@ def fit_topics(
     min_topic_size: int = 15,
     brand_words: Sequence[str] = (),
     stop: Sequence[str] | None = None,
-    probabilities: bool = True,
+    probabilities: bool = False,
     dims: int = 5,
 ) -> dict[str, DataFrame]:
     """Encode, reduce, cluster, and describe; the four tables of a topic model.
 
-    Texts without a vector are noise.
+    Texts without a vector are noise. ``probabilities`` adds every topic's share
+    to every row, so its size is that of rows times topics; it is off unless asked for.
     """
     docs = df.select(key, text)
     vectors = materialize(vectors if vectors is not None else encode_documents(docs, key, text))

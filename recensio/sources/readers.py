@@ -33,13 +33,22 @@ def load_table(
     schema: T.StructType = REVIEW_SCHEMA,
     format: str | None = None,
     on_error: str = "raise",
+    multi_line: bool = True,
+    malformed: str = "permissive",
     **options: str,
 ) -> DataFrame:
     """Read ``path`` with an explicit schema.
 
     ``on_error='raise'`` turns a failed load into ``ValueError``; ``'empty'``
-    gives an empty table of the same schema instead.
+    gives an empty table of the same schema instead. A CSV file whose quoted
+    fields may hold line breaks (``multi_line``) is one task, whatever its size;
+    without them it is split. ``malformed`` says what becomes of CSV and JSON
+    rows that do not fit the schema: ``'permissive'`` leaves their fields null,
+    ``'drop'`` leaves them out, ``'fail'`` ends the job that reads them.
     """
+    modes = {"permissive": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}
+    if malformed not in modes:
+        raise ValueError(f"malformed is one of {tuple(modes)}")
     if on_error not in ("raise", "empty"):
         raise ValueError("on_error is 'raise' or 'empty'")
     try:
@@ -47,7 +56,9 @@ def load_table(
         if kind not in FORMATS:
             raise ValueError(f"unsupported format {kind!r}; use one of {FORMATS}")
         if kind == "csv":
-            options = {"header": "true", "multiLine": "true", "escape": '"', **options}
+            options = {"header": "true", "multiLine": str(multi_line).lower(), "escape": '"', **options}
+        if kind in ("csv", "json"):
+            options = {"mode": modes[malformed], **options}
         return spark.read.schema(schema).options(**options).format(kind).load(path)
     except (PySparkException, ValueError) as error:
         if on_error == "empty":
@@ -74,9 +85,9 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     """Give CPU-heavy text work a task per core when the input has few splits.
 
     A file with one row group is read by one task however large the cluster is;
-    inputs that already have enough splits are left as they are.
+    inputs with a split for each core are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 4 * cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(2 * cores, key)

@@ -7,7 +7,7 @@ import __spark_entry__
 from recensio import catalog
 
 SF_DIR = "/root/testdata/sf0.001"
-SLOW = {"m17_feature_importance", "flow_main_topics"}
+SLOW = {"m17_feature_importance"}
 
 
 @pytest.fixture(scope="module")
