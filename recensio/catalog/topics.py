@@ -74,6 +74,24 @@ def m03(spark, sf_dir):
     return density.density_cluster(reduced, "vec_id", "reduced")
 
 
+@query(
+    "m03b_planted_clusters",
+    """select vec_id, case when vec_id % 200 = 0 then -1
+      else min(vec_id) over (partition by label, vec_id % 200 = 0) end as cluster from embeddings""",
+)
+def m03b(spark, sf_dir):
+    """Labels as spots in the plane, every 200th row far from all others."""
+    i, k = F.col("vec_id"), F.col("label")
+    far = i % 200 == 0
+    x = F.when(far, 1000.0 + i * 1000.0).otherwise((k % 3) * 10 + (i % 7 - 3) * 0.04)
+    y = F.when(far, -1000.0 - i).otherwise(F.floor(k / 3) * 10 + (i % 5 - 2) * 0.04)
+    placed = table(spark, sf_dir, "embeddings").select("vec_id", F.array(x, y).alias("p"))
+    found = density.density_cluster(placed, "vec_id", "p")
+    first = found.groupBy("cluster").agg(F.min("vec_id").alias("first"))
+    named = F.when(F.col("cluster") == density.NOISE, F.lit(-1)).otherwise(F.col("first"))
+    return found.join(F.broadcast(first), "cluster").select("vec_id", named.cast("long").alias("cluster"))
+
+
 @query("m04_topic_term_counts", f"{WORDS_CTE} select topic, term, tf from counts")
 def m04(spark, sf_dir):
     return tp.topic_term_counts(assigned(spark, sf_dir), "text", stop=STOP)

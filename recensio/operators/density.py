@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.operators.components import connected_components
@@ -22,29 +22,43 @@ from recensio.operators.scale import lookup_join
 from recensio.session import materialize
 
 NOISE = -1
+#: Cells are not made narrower than the width over two to this power.
+MOST_LEVELS = 16
+#: Parts are preferred if they outweigh the whole by this factor; what falls apart at
+#: the last resolution only, where cells hold about ``min_samples`` points, does not.
+TOGETHER = 1.25
 
 
-def _cells(points: DataFrame, dims: int, levels: int) -> DataFrame:
-    """``(id, level, cell)`` of each point at each level."""
-    low_high = points.agg(
-        *[F.min(F.col("v")[i]).alias(f"l{i}") for i in range(dims)],
-        *[F.max(F.col("v")[i]).alias(f"h{i}") for i in range(dims)],
+def _frame(points: DataFrame, dims: int) -> tuple[list[float], float]:
+    """Middle of each dimension and the widest spread of the inner 98 % of all points.
+
+    Points outside lie in cells further out, so a far outlier changes no cell.
+    """
+    cuts = points.agg(
+        *[F.percentile_approx(F.col("v")[i], [0.01, 0.5, 0.99], 100_000).alias(f"q{i}") for i in range(dims)]
     ).first()
-    lows = [low_high[f"l{i}"] for i in range(dims)]
-    width = max(low_high[f"h{i}"] - low_high[f"l{i}"] for i in range(dims)) or 1.0
-    finest = 2**levels
-    fine = [
-        F.least(F.floor((F.col("v")[i] - F.lit(lows[i])) / F.lit(width) * F.lit(finest)), F.lit(finest - 1)).cast("int")
-        for i in range(dims)
-    ]
-    placed = points.select("id", F.array(*fine).alias("fine"))
-    return placed.select(
-        "id", "fine", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level")
-    ).select(
-        "id",
-        "level",
-        F.transform("fine", lambda c: F.floor(c / F.pow(F.lit(2), levels - F.col("level"))).cast("int")).alias("cell"),
-    )
+    width = max(cuts[f"q{i}"][2] - cuts[f"q{i}"][0] for i in range(dims)) or 1.0
+    return [cuts[f"q{i}"][1] - width / 2 for i in range(dims)], width
+
+
+def _cell(lows: list[float], width: float, level) -> Column:
+    place = [F.floor((F.col("v")[i] - F.lit(low)) / F.lit(width) * F.pow(F.lit(2.0), level)) for i, low in enumerate(lows)]
+    return F.array(*[p.cast("long") for p in place])
+
+
+def _levels(points: DataFrame, lows: list[float], width: float, min_samples: int) -> int:
+    """Halve the cells until none holds ``min_samples`` points any more; copies end at ``MOST_LEVELS``."""
+    for level in range(2, MOST_LEVELS + 1):
+        cells = points.groupBy(_cell(lows, width, F.lit(level)).alias("cell")).agg(F.count(F.lit(1)).alias("n"))
+        if cells.filter(F.col("n") >= min_samples).isEmpty():
+            return level - 1
+    return MOST_LEVELS
+
+
+def _cells(points: DataFrame, lows: list[float], width: float, levels: int) -> DataFrame:
+    """``(id, level, cell)`` of each point at each level."""
+    at = points.withColumn("level", F.explode(F.sequence(F.lit(1), F.lit(levels))))
+    return at.select("id", "level", _cell(lows, width, F.col("level")).alias("cell"))
 
 
 def _tree(dense: DataFrame, dims: int, levels: int) -> DataFrame:
@@ -68,7 +82,7 @@ def _choose(cells: DataFrame, levels: int, min_size: int) -> DataFrame:
         (F.col("level") + 1).alias("level"), "cell", F.col("component").alias("parent")
     )
     up = cells.select(
-        "level", "component", F.transform("cell", lambda c: F.floor(c / 2).cast("int")).alias("cell")
+        "level", "component", F.transform("cell", lambda c: F.floor(c / 2).cast("long")).alias("cell")
     )
     parents = up.join(above, ["level", "cell"], "left").groupBy("level", "component").agg(F.min("parent").alias("parent"))
     nodes = materialize(sizes.join(parents, ["level", "component"], "left"))
@@ -100,7 +114,7 @@ def _choose(cells: DataFrame, levels: int, min_size: int) -> DataFrame:
             here = here.join(children, "component", "left").withColumns(
                 {"own": F.col("mass") + F.coalesce(carried, F.lit(0.0)), "parts": F.coalesce("parts", F.lit(0.0))}
             )
-        keep = (F.col("own") >= F.col("parts")) & ~in_root
+        keep = (F.col("own") * F.lit(TOGETHER) >= F.col("parts")) & ~in_root
         below = materialize(
             here.withColumn("keep", keep)
             .withColumn("best", F.when(F.col("keep"), F.col("own")).otherwise(F.col("parts")))
@@ -131,29 +145,42 @@ def density_cluster(
     vector: str,
     min_cluster_size: int = 15,
     min_samples: int = 5,
-    levels: int = 7,
 ) -> DataFrame:
     """``(key, cluster)`` for every row; clusters are numbered by an arbitrary id.
 
-    ``vector`` is an ``array<double>`` of few dimensions (see ``reduce_vectors``).
+    ``vector`` is an ``array<double>`` of few dimensions (see ``reduce_vectors``);
+    keys may be of any type. The number of resolutions follows the data, and
+    their frame its inner quantiles. Rows without a vector are noise.
     """
-    points = materialize(df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")))
+    points = materialize(df.select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull()))
     first = points.select(F.size("v").alias("n")).first()
     if first is None:
         return df.select(key, F.lit(NOISE).cast("long").alias("cluster"))
     dims = first["n"]
-    placed = _cells(points, dims, levels)
+    lows, width = _frame(points, dims)
+    levels = _levels(points, lows, width, min_samples)
+    placed = _cells(points, lows, width, levels)
     dense = materialize(
         placed.groupBy("level", "cell")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"))
+        .agg(F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= min_samples)
-        .withColumn("node", F.col("first_id") * F.lit(64) + F.col("level"))
-        .drop("first_id")
+        .withColumn("node", F.xxhash64("level", "cell"))
     )
     cells = _tree(dense, dims, levels)
     chosen = _choose(cells, levels, min_cluster_size)
     wanted = materialize(cells.join(chosen, "component", "left_semi").select("level", "cell", "n", "component"))
-    labels = lookup_join(placed, wanted, ["level", "cell"], "inner", seen="n").select(
-        F.col("id").alias(key), F.col("component").alias("cluster")
+    # points in sparse cells that touch a chosen cell lie on the border of its cluster
+    around = F.array(*[F.array(*[F.lit(s).cast("long") for s in step]) for step in product((-1, 0, 1), repeat=dims) if any(step)])
+    border = (
+        wanted.select("level", "cell", "component", F.explode(around).alias("step"))
+        .select("level", F.zip_with("cell", "step", lambda c, s: c + s).alias("cell"), "component")
+        .join(wanted.select("level", "cell"), ["level", "cell"], "left_anti")
+        .groupBy("level", "cell")
+        .agg(F.min("component").alias("component"))
     )
+    inside = wanted.select("level", "cell", "component", F.lit(True).alias("inside"))
+    table = materialize(inside.unionByName(border.withColumn("inside", F.lit(False))))
+    met = lookup_join(placed, table, ["level", "cell"], "inner")
+    labels = met.groupBy(F.col("id").alias(key)).agg(F.max(F.struct("inside", "component")).alias("_best"))
+    labels = labels.select(key, F.col("_best.component").alias("cluster"))
     return df.select(key).join(labels, key, "left").withColumn("cluster", F.coalesce("cluster", F.lit(NOISE)))
