@@ -88,11 +88,8 @@ def a11(spark, sf_dir):
     wanted as (select distinct label from taxonomy where pos > 0),
     c as (select date_trunc('month', review_date) as m, cur as label, count(distinct review_id) as n from t2
       where review_date is not null group by 1, 2)
-    select cast(last_day(months.m) as varchar) as month_end, wanted.label, coalesce(n, 0) as n
-    from months, wanted left join c on c.label = wanted.label and c.m = months.m""".replace(
-        "from months, wanted left join c on", "from (select * from months, wanted) x left join c on"
-    ).replace("months.m) as varchar", "x.m) as varchar").replace("wanted.label, coalesce", "x.label, coalesce")
-    .replace("c.label = wanted.label and c.m = months.m", "c.label = x.label and c.m = x.m"),
+    select cast(last_day(x.m) as varchar) as month_end, x.label, coalesce(n, 0) as n
+    from (select * from months, wanted) x left join c on c.label = x.label and c.m = x.m""",
 )
 def a14(spark, sf_dir):
     # the trend leaves out the first taxonomy row
@@ -101,6 +98,23 @@ def a14(spark, sf_dir):
     return out.withColumn("month_end", F.col("month_end").cast("string"))
 
 
+@query(
+    "a14b_trend_of_frequent_labels",
+    f"""{LABELS_CTE}, d as (select * from p where review_date is not null),
+    months as (select unnest(generate_series(date_trunc('month', (select min(review_date) from d))::timestamp,
+      date_trunc('month', (select max(review_date) from d))::timestamp, interval 1 month)) as m),
+    wanted as (select cur as label from t2 where review_date is not null group by cur order by count(*) desc, cur limit 20),
+    c as (select date_trunc('month', review_date) as m, cur as label, count(distinct review_id) as n from t2
+      where review_date is not null group by 1, 2)
+    select cast(last_day(x.m) as varchar) as month_end, x.label, coalesce(n, 0) as n
+    from (select * from months, wanted) x left join c on c.label = x.label and c.m = x.m""",
+)
+def a14b(spark, sf_dir):
+    df = updated(spark, sf_dir)
+    out = lb.monthly_label_counts(df, lb.frequent_labels(df, "new_labels"))
+    return out.withColumn("month_end", F.col("month_end").cast("string"))
+
+
 @query(
     "l01_sorted_label_counts",
     f"""{LABELS_CTE}, c as (select cur as label, count(*) as n from t2 group by cur)

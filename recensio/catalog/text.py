@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recensio.catalog.base import HOME, WITH_NOISY, WITH_REVIEWS, noisy, query, reviews
+from recensio.catalog.base import HOME, WITH_NOISY, WITH_REVIEWS, noisy, query, reviews, table
 from recensio.functions import text as fn
 from recensio.functions import wordlists
 from recensio.functions.emoji import emoji_to_alias
@@ -186,6 +186,31 @@ def t09(spark, sf_dir):
     )
 
 
+# Printed lists of other shapes than the reviews hold.
+PRINTED_SQL = """select doc_id, case doc_id % 7
+  when 0 then concat('[', chr(39), source, chr(39), ',]')
+  when 1 then concat('[', chr(39), source, chr(39), ', None, 12]')
+  when 2 then concat('[', chr(39), chr(92), 'x41', chr(92), 'u00e9', chr(39), ', "it', chr(39), 's"]')
+  when 3 then concat('[', chr(39), 'a', chr(39), '] [', chr(39), 'b', chr(39), ']')
+  when 4 then concat('["x', chr(92), '"y", ', chr(39), 'p', chr(92), chr(39), 'q', chr(39), ' ]')
+  when 5 then '[ ]' else concat('[', chr(39), source, chr(39), ' ', source, ']') end as printed, source from documents"""
+
+
+@query(
+    "t09b_parse_odd_labels",
+    """select doc_id, case doc_id % 7 when 0 then source when 1 then source || '|?|12'
+      when 2 then concat('A', chr(233), '|it', chr(39), 's') when 4 then concat('x"y|p', chr(39), 'q') else '' end as parsed_labels,
+    cast(case doc_id % 7 when 0 then 1 when 1 then 3 when 2 then 2 when 4 then 2 else 0 end as int) as n_labels
+    from documents""",
+)
+def t09b(spark, sf_dir):
+    sql = PRINTED_SQL.replace("from documents", "from {documents}")
+    parsed = labels.parse_labels(F.col("printed"))
+    return spark.sql(sql, documents=table(spark, sf_dir, "documents")).select(
+        "doc_id", F.array_join(parsed, "|", "?").alias("parsed_labels"), F.size(parsed).alias("n_labels")
+    )
+
+
 @query(
     "t10_parse_date",
     f"""{WITH_REVIEWS} select review_id, cast(try_cast(t as date) as varchar) as parsed from (

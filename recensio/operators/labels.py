@@ -13,11 +13,38 @@ from recensio.operators.scale import lookup_join
 MAP_ROWS = 1_000
 
 
+_QUOTED = r"""'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+\""""
+_ITEM = rf"(?:{_QUOTED}|None|True|False|-?\d+(?:\.\d+)?)"
+_LIST = rf"^\s*\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*+,?)?\s*\]\s*$"
+#: Stands for an escaped backslash while other escapes are read.
+_BACKSLASH = "\ue000"
+
+
+def _unescaped(inner: Column) -> Column:
+    """A quoted item without its quotes: its escapes are written as JSON ones and read as such."""
+    c = F.replace(inner, F.lit("\\\\"), F.lit(_BACKSLASH))
+    for quote in ("'", '"'):
+        c = F.replace(c, F.lit("\\" + quote), F.lit(quote))
+    c = F.regexp_replace(c, r"\\x([0-9a-fA-F]{2})", r"\\u00$1")
+    c = F.replace(F.replace(c, F.lit('"'), F.lit('\\"')), F.lit("\t"), F.lit("\\t"))
+    c = F.replace(c, F.lit(_BACKSLASH), F.lit("\\\\"))
+    read = F.from_json(F.concat(F.lit('["'), c, F.lit('"]')), "array<string>")
+    return F.when(inner.contains("\\"), F.coalesce(F.get(read, F.lit(0)), inner)).otherwise(inner)
+
+
 def parse_labels(printed: Column) -> Column:
-    """``"['a', 'b']"`` to an array; anything that is not such a list gives ``[]``."""
-    parsed = F.from_json(printed, "array<string>", {"allowSingleQuotes": "true"})
-    shaped = printed.startswith("[") & printed.endswith("]")
-    return F.coalesce(F.when(shaped, parsed), F.array().cast("array<string>"))
+    """A printed list, ``"['a', None]"``, to an array; anything that is not one gives ``[]``.
+
+    Items are quoted texts, numbers, True, False and None, which becomes null; a
+    comma may follow the last. Lists in lists are not labels and give ``[]``.
+    """
+    items = F.transform(
+        F.regexp_extract_all(printed, F.lit(f"({_ITEM})"), F.lit(1)),
+        lambda x: F.when(x == "None", F.lit(None).cast("string"))
+        .when(x.startswith("'") | x.startswith('"'), _unescaped(F.substring(x, F.lit(2), F.length(x) - 2)))
+        .otherwise(x),
+    )
+    return F.coalesce(F.when(printed.rlike(_LIST), items), F.array().cast("array<string>"))
 
 
 def mapping(taxonomy: DataFrame, source: str, target: str, order: str = "pos") -> DataFrame:
@@ -56,6 +83,13 @@ def map_labels(
     )
 
 
+def frequent_labels(df: DataFrame, column: str, n: int = 20, date: str = "review_date") -> DataFrame:
+    """``(label)``: the ``n`` most frequent labels of dated rows, for trends; ties by name."""
+    dated = df.filter(F.col(date).isNotNull())
+    counts = dated.select(F.explode(column).alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.filter(F.col("label").isNotNull()).orderBy(F.desc("n"), "label").limit(n).select("label")
+
+
 def update_labels(df: DataFrame, key: str, taxonomy: DataFrame) -> DataFrame:
     """Old label names to the current ones (``parsed_labels`` to ``new_labels``)."""
     pairs = mapping(taxonomy, "old_label_name", "label")
