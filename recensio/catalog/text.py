@@ -20,7 +20,7 @@ def alias_sql(x: str) -> str:
         ("👍", "thumbs_up"),
         ("❤️", "red_heart"),
         ("😡", "enraged_face"),
-        ("🇮🇹", "flag_it"),
+        ("🇮🇹", "Italy"),
     ]:
         x = f"replace({x}, '{emoji}', ' :{name}: ')"
     return x

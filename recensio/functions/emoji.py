@@ -5,8 +5,9 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Code points with the Unicode property Emoji (digits, '#' and '*' only count
@@ -116,11 +117,21 @@ def _aliases() -> Column:
     return F.from_json(F.lit(json.dumps(alias_table(), ensure_ascii=False)), "map<string,string>")
 
 
+@lru_cache(maxsize=1)
+def region_names() -> dict[str, str]:
+    """English name of each country code, as the Java runtime's locale data has it."""
+    locale = SparkSession.active()._jvm.java.util.Locale
+    names = {code: locale("", code).getDisplayCountry(locale.ENGLISH) for code in locale.getISOCountries()}
+    return {code.lower(): name.replace(" ", "_") for code, name in names.items()}
+
+
 def _alias(emoji: Column, aliases: Column) -> Column:
     """``:name:`` of one match; parts of a sequence are joined by ``_``."""
     parts = F.regexp_extract_all(emoji, F.lit(r"[^\x{FE0F}\x{200D}\x{20E3}]"), F.lit(0))
     names = F.array_join(F.transform(parts, lambda p: F.coalesce(aliases[p], p)), "_")
-    flag = F.when(emoji.rlike(_FLAG), F.concat(F.lit("flag_"), F.replace(names, F.lit("_"), F.lit(""))))
+    code = F.replace(names, F.lit("_"), F.lit(""))
+    regions = F.from_json(F.lit(json.dumps(region_names(), ensure_ascii=False)), "map<string,string>")
+    flag = F.when(emoji.rlike(_FLAG), F.coalesce(regions[code], F.concat(F.lit("flag_"), code)))
     return F.concat(F.lit(":"), F.coalesce(flag, names), F.lit(":"))
 
 

@@ -39,7 +39,8 @@ def test_cleaning_twice_changes_nothing_more_in_spaces(one):
 
 def test_aliases(one):
     assert one(emoji.emoji_to_alias, "a👍🏽b") == "a :thumbs_up_medium_skin_tone: b"
-    assert one(emoji.emoji_to_alias, "🇮🇹") == " :flag_it: "
+    assert one(emoji.emoji_to_alias, "🇮🇹") == " :Italy: "
+    assert one(emoji.emoji_to_alias, "🇺🇸") == " :United_States: "
     assert one(emoji.emoji_to_alias, "no 1 # emoji *") == "no 1 # emoji *"
     assert one(emoji.emoji_list, "x👍y❤️1️⃣") == ["👍", "❤️", "1️⃣"]
     assert one(emoji.emoji_count, "👨‍👩‍👧 e 🚀") == 2
