@@ -136,14 +136,18 @@ def word_hashes(column, ends_word: np.ndarray = SPACES, lower: bool = False):
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Non-negative integers in the fewest of 1, 2, 4 or 8 bytes each."""
-    top = int(values.max()) if len(values) else 0
-    width = next(w for w in (1, 2, 4, 8) if top < 1 << (8 * w))
-    return bytes([width]) + np.ascontiguousarray(values).astype(f"<u{width}").tobytes()
+    """Non-negative integers in one byte each; those of 255 and more follow in eight."""
+    values = np.asarray(values)
+    over = values[values >= 255].astype("<i8")
+    return len(over).to_bytes(8, "little") + np.minimum(values, 255).astype(np.uint8).tobytes() + over.tobytes()
 
 
 def unpack(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, f"<u{data[0]}", offset=1).astype(np.int64)
+    over = int.from_bytes(data[:8], "little")
+    out = np.frombuffer(data, np.uint8, len(data) - 8 - 8 * over, 8).astype(np.int64)
+    if over:
+        out[out == 255] = np.frombuffer(data, "<i8", over, len(data) - 8 * over)
+    return out
 
 
 def pack_bits(mask: np.ndarray) -> bytes:
