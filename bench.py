@@ -7,7 +7,7 @@ import os
 import time
 
 from recensio import catalog
-from recensio.session import local_session
+from recensio.session import local_session, release
 
 HEADLINE = [
     "t01_clean_text",
@@ -43,6 +43,7 @@ def main() -> None:
         started = time.time()
         registered[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.time() - started, 3)
+        release(spark)
     line = {
         "metric": "headline_queries_total",
         "value": round(sum(seconds.values()), 3),

@@ -37,10 +37,28 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+_given: dict[str, list[str]] = {}
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder next to the checkpoints, for tables that queries write."""
     _ensure_checkpoint_dir(spark)
-    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    folder = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the tables that this application has written so far; returns their number.
+
+    Results that still read them must be written or collected before.
+    """
+    folders = _given.pop(spark.sparkContext.applicationId, [])
+    conf = spark._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+    return len(folders)
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -109,3 +109,13 @@ def test_language_and_rare_words_without_broadcast(spark, monkeypatch):
     want = shown()
     monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
     assert shown() == want
+
+
+def test_release_deletes_what_was_written(spark):
+    from pathlib import Path
+
+    from recensio.session import materialize, release
+
+    kept = materialize(spark.range(10))
+    folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
+    assert folder.exists() and release(spark) >= 1 and not folder.exists()
