@@ -16,6 +16,10 @@ from recensio.session import materialize
 LENGTH = 10
 #: Windows of the benchmark up to this number are broadcast (12 bytes each).
 BROADCAST_WINDOWS = 1_000_000
+#: Suspect texts up to this number are looked up by broadcast (8 bytes each), and what
+#: was found in them up to so many numbers; beyond, both are joined by key.
+BROADCAST_TEXTS = 2_000_000
+BROADCAST_FOUND = 8_000_000
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = "".join(map(chr, [*range(0x01, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
@@ -84,8 +88,9 @@ def find_leaks(
         )
     places = found.groupBy("_leak_key").agg(F.collect_set(F.struct("pos", "n", "hash")).alias("_leak_at"))
     places = materialize(places)
+    keys = places.select("_leak_key")
     suspects = (
-        keyed.join(places, "_leak_key", "left_semi")
+        keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_TEXTS else keys, "_leak_key", "left_semi")
         .dropDuplicates(["_leak_key"])
         .select("_leak_key", plain_words(F.col(text)).alias("w"))
         .join(places, "_leak_key")
@@ -95,10 +100,13 @@ def find_leaks(
     known = windows.select("hash", "n", "words", F.col("item_id").cast("string").alias("item"))
     known = known.groupBy("hash", "n", "words").agg(F.collect_set("item").alias("items"))
     true = suspects.join(F.broadcast(known) if small else known, ["hash", "n", "words"])
-    verified = true.groupBy("_leak_key").agg(
+    verified = materialize(true.groupBy("_leak_key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1))))).alias("hit_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("hit_items"),
-    )
+    ))
+    load = verified.agg(F.sum(F.size("hit_words") + F.size("hit_items") * 4 + 4)).first()[0] or 0
+    if load <= BROADCAST_FOUND:
+        verified = F.broadcast(verified)
     return (
         keyed.withColumn("n_words", F.size(plain_words(F.col(text))).cast("long"))
         .join(verified, "_leak_key", "left")
@@ -106,3 +114,9 @@ def find_leaks(
         .withColumn("hit_words", F.coalesce("hit_words", F.array().cast("array<int>")))
         .withColumn("hit_items", F.coalesce("hit_items", F.array().cast("array<string>")))
     )
+
+
+def without_hits(found: DataFrame, text: str = "text") -> DataFrame:
+    """``found`` with ``clean_text``: the words that are not hit, joined by one space."""
+    words = F.filter(plain_words(F.col(text)), lambda w, i: ~F.array_contains("hit_words", i))
+    return found.withColumn("clean_text", F.array_join(words, " "))
