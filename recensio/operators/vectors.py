@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from math import sqrt
+from collections.abc import Iterator
+from math import isqrt, sqrt
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.functions.features import let
-from recensio.operators.scale import salted
+from recensio.operators.scale import lookup_join, salted
 from recensio.session import materialize
 
 MOST_ROWS = 4_000
-GRID_DIMS = 3
 BOUND_DIMS = 16
+#: Most pivots; each is one vector in every task.
+PIVOTS = 256
+#: Vectors that pivots are picked from.
+SAMPLE = 4_096
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -39,6 +45,42 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
+def _apart(vectors: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` different vectors, each the farthest from those before."""
+    picked, nearest = [0], 1 - vectors @ vectors[0]
+    while len(picked) < most and nearest.max() > 1e-9:
+        picked.append(int(nearest.argmax()))
+        nearest = np.minimum(nearest, 1 - vectors @ vectors[picked[-1]])
+    return vectors[picked]
+
+
+def pivot_cells(units: DataFrame, reach: float, most_pivots: int = PIVOTS) -> DataFrame:
+    """``(id, home, cell)``: every vector in the cell of its nearest pivot, and in each cell it can reach.
+
+    Pivots are picked from a sample, each the farthest from those before. A vector y at home with q
+    can lie within ``reach`` of one at home with p only if its distance from the
+    plane between both pivots, (|y-p|^2 - |y-q|^2) / (2 |p-q|), is at most
+    ``reach``; only then it is copied to p.
+    """
+    n = units.count()
+    sample = units.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()  # at most SAMPLE vectors
+    pivots = _apart(np.array([r["v"] for r in sample]), min(most_pivots, 2 * isqrt(n) + 1))
+    between = np.sqrt(np.maximum(0.0, 2 - 2 * np.clip(pivots @ pivots.T, -1, 1)))
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for start in range(0, len(batch), 1024):
+                rows = batch.iloc[start : start + 1024]
+                far2 = 2 - 2 * (np.vstack(rows["v"].to_numpy()) @ pivots.T)
+                home = far2.argmin(axis=1)
+                own = far2[np.arange(len(rows)), home]
+                row, cell = np.nonzero(far2 - own[:, None] <= 2 * reach * between[home] + 1e-9)
+                yield pd.DataFrame({"id": rows["id"].to_numpy()[row], "home": home[row], "cell": cell})
+
+    kind = dict(units.dtypes)["id"]
+    return units.select("id", "v").mapInPandas(place, f"id {kind}, home int, cell int")
+
+
 def similar_vectors(
     df: DataFrame,
     key: str,
@@ -46,55 +88,53 @@ def similar_vectors(
     threshold: float,
     inclusive: bool = True,
     most: int = MOST_ROWS,
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Exact pairs with cosine >= threshold, and the groups of equal vectors.
 
-    Returns ``(pairs, groups)``: ``(id1, id2, similarity)`` between the first
-    rows of equal vectors and ``(first_id, copies)``.
+    Returns ``(pairs, groups, members)``: ``(id1, id2, similarity)`` between the
+    first rows of equal vectors, ``(first_id, copies)``, and ``(id, first_id)`` of
+    every row, from which all pairs of rows can be rebuilt.
 
-    On unit vectors the condition is a distance of at most sqrt(2 - 2t), and no
-    projection on orthonormal directions makes a distance longer. Rows are put
-    in a grid of that cell width over the leading principal directions, joined
-    with the neighbouring cells only, and sieved by their distance in the
-    leading directions before any full vector moves.
+    On unit vectors the condition is a distance of at most sqrt(2 - 2t). Vectors
+    meet in the cells of pivots (see ``pivot_cells``), a pair in the cell of the lower
+    pivot only, and are sieved by their distance in the leading principal
+    directions, which is never longer, before any full vector moves.
     """
     reach = sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
     units = df.select(F.col(key).alias("id"), unit(F.col(vector)).alias("v")).filter(F.col("v").isNotNull())
+    units = materialize(units.withColumn("same", F.xxhash64("v")))
     groups = materialize(
-        units.groupBy("v").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+        units.groupBy("same", "v").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     )
+    members = lookup_join(units, groups.select("same", "v", "first_id", "copies"), ["same", "v"], "inner", seen="copies").select("id", "first_id")
+    found = groups.select("first_id", "copies")
     firsts = groups.select(F.col("first_id").alias("id"), "v")
     size = firsts.select(F.size("v").alias("n")).first()
     if size is None:
         empty = df.sparkSession.createDataFrame([], "id1 long, id2 long, similarity double")
-        return empty, groups.select("first_id", "copies")
-    kept, cells = min(BOUND_DIMS, size["n"]), min(GRID_DIMS, size["n"])
+        return empty, found, members
+    kept = min(BOUND_DIMS, size["n"])
     vectors = firsts.select("id", array_to_vector("v").alias("features"))
     model = PCA(k=kept, inputCol="features", outputCol="p").fit(vectors)
     projected = materialize(model.transform(vectors).select("id", vector_to_array("p").alias("p")))
-    flat = projected.select(
-        "id",
-        *[F.col("p")[i].alias(f"p{i}") for i in range(kept)],
-        *[F.floor(F.col("p")[i] / F.lit(reach)).cast("int").alias(f"c{i}") for i in range(cells)],
-    )
-    grid = [f"c{i}" for i in range(cells)]
-    near = flat
-    for c in grid:
-        near = near.withColumn(c, F.explode(F.array(F.col(c) - 1, F.col(c), F.col(c) + 1)))
-    left, right, keys = salted(flat, near, grid, "id", most)
+    flat = projected.select("id", *[F.col("p")[i].alias(f"p{i}") for i in range(kept)])
+    placed = materialize(pivot_cells(firsts, reach).join(flat, "id"))
+    at_home = placed.filter(F.col("home") == F.col("cell"))
+    left, right, keys = salted(at_home, placed, ["cell"], "id", most)
     a, b = left.alias("a"), right.alias("b")
     far2 = sum(
         ((F.col(f"a.p{i}") - F.col(f"b.p{i}")) * (F.col(f"a.p{i}") - F.col(f"b.p{i}")) for i in range(1, kept)),
         (F.col("a.p0") - F.col("b.p0")) * (F.col("a.p0") - F.col("b.p0")),
     )
-    on = (F.col("a.id") < F.col("b.id")) & (far2 <= reach * reach)
+    once = (F.col("a.home") < F.col("b.home")) | ((F.col("a.home") == F.col("b.home")) & (F.col("a.id") < F.col("b.id")))
+    on = once & (far2 <= reach * reach)
     for k in keys:
         on = on & (F.col(f"a.{k}") == F.col(f"b.{k}"))
-    candidates = a.join(b, on).select(F.col("a.id").alias("id1"), F.col("b.id").alias("id2"))
+    candidates = a.join(b, on).select(F.least("a.id", "b.id").alias("id1"), F.greatest("a.id", "b.id").alias("id2"))
     scored = (
         candidates.join(firsts.select(F.col("id").alias("id1"), F.col("v").alias("v1")), "id1")
         .join(firsts.select(F.col("id").alias("id2"), F.col("v").alias("v2")), "id2")
         .select("id1", "id2", dot(F.col("v1"), F.col("v2")).alias("similarity"))
     )
     close = F.col("similarity") >= threshold if inclusive else F.col("similarity") > threshold
-    return scored.filter(close), groups.select("first_id", "copies")
+    return scored.filter(close), found, members

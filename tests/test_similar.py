@@ -102,7 +102,7 @@ def test_similar_vectors(spark, most):
     x = np.vstack([c + 0.25 * rng.normal(size=(25, 12)) for c in centres])
     x = np.vstack([x, x[:10], 3 * x[:5], np.zeros((1, 12))])
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
-    pairs, groups = vectors.similar_vectors(df, "id", "v", 0.95, most=most)
+    pairs, groups, _ = vectors.similar_vectors(df, "id", "v", 0.95, most=most)
     firsts = {r["first_id"] for r in groups.collect()}
     with np.errstate(invalid="ignore"):
         unit = x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -125,3 +125,15 @@ def test_without_any_broadcast(spark, texts, monkeypatch):
     monkeypatch.setattr(weights, "fits_broadcast", lambda *a: False)
     monkeypatch.setattr(scale, "fits_broadcast", lambda *a: False)
     assert shown() == want
+
+
+def test_few_pairs_of_clustered_vectors_meet(spark):
+    """Vectors around forty centres: fewer than a tenth of all pairs share a cell at 0.92."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 64))
+    rows = [(i, (centres[i % 40] + rng.normal(0, 0.1, 64)).tolist()) for i in range(1_000)]
+    units = spark.createDataFrame(rows, "id long, e array<double>").select("id", vectors.unit(F.col("e")).alias("v"))
+    placed = vectors.pivot_cells(units, (2 - 2 * 0.92) ** 0.5).cache()
+    home = placed.filter("home = cell").select("cell", F.col("id").alias("a"), F.col("home").alias("h"))
+    met = home.join(placed, "cell").filter("h < home or (h = home and a < id)").count()
+    assert met < 0.1 * 1_000 * 999 / 2
