@@ -261,6 +261,4 @@ def w02(spark, sf_dir):
     f"""{NORMAL} select s as value, count(*) as n, count(*) / sum(count(*)) over () as share from n group by s""",
 )
 def w03(spark, sf_dir):
-    counts = sm.value_counts(normal(spark, sf_dir), "sentiment")
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    return counts.withColumn("share", F.col("n") / total)
+    return sm.share_of_total(sm.value_counts(normal(spark, sf_dir), "sentiment"))

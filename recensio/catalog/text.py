@@ -219,7 +219,7 @@ def t09b(spark, sf_dir):
 )
 def t10(spark, sf_dir):
     raw = F.when(F.col("review_id") % 17 == 0, "yesterday").otherwise(F.col("review_date").cast("string"))
-    return reviews(spark, sf_dir).select("review_id", F.try_to_date(raw).cast("string").alias("parsed"))
+    return reviews(spark, sf_dir).select("review_id", fn.parse_date(raw).cast("string").alias("parsed"))
 
 
 @query(
@@ -228,8 +228,7 @@ def t10(spark, sf_dir):
     from reviews""",
 )
 def t11(spark, sf_dir):
-    seconds = F.unix_date("review_date").cast("long") * 86400
-    return reviews(spark, sf_dir).select("review_id", F.coalesce(seconds, F.lit(-1)).alias("seconds"))
+    return reviews(spark, sf_dir).select("review_id", fn.epoch_seconds(F.col("review_date")).alias("seconds"))
 
 
 @query("t12_corpus", f"{WITH_NOISY} select review_id, review as text from noisy")

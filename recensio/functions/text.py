@@ -82,3 +82,13 @@ def swap_in_translation(
 
 def corpus(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key), F.col(text).cast("string").alias("text"))
+
+
+def parse_date(text: Column) -> Column:
+    """The date that a text spells, else null."""
+    return F.try_to_date(text)
+
+
+def epoch_seconds(date: Column) -> Column:
+    """Seconds from 1970 to the start of the day; -1 without a date."""
+    return F.coalesce(F.unix_date(date).cast("long") * 86400, F.lit(-1))

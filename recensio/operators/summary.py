@@ -156,6 +156,11 @@ def crosstab_shares(df: DataFrame, row: str, column: str, values: Sequence | Non
     return _wide(df, row, column, values, "share")
 
 
+def share_of_total(counts: DataFrame, n: str = "n", share: str = "share") -> DataFrame:
+    """``counts`` with each count over the sum of all."""
+    return counts.withColumn(share, F.col(n) / counts.agg(F.sum(n).alias("total")).scalar())
+
+
 def monthly_volume(df: DataFrame, date: str = "review_date", counted_column: str = "review") -> DataFrame:
     """Texts per month from the first to the last month; empty months give 0."""
     counts = (
