@@ -32,7 +32,7 @@ TRAIN_TEXTS, TRAIN_WORDS = 2_000, 50
 _PRINTABLE = 128
 #: Words of usual names in code, paths and addresses.
 COMMON = (
-    "the and for with from this that name value count index file path table user usr local lib bin var home state order item list "
+    "the and for with from this that by id is has to of on in at name value count index file path table user usr local lib bin var home state order item list "
     "number python java site packages package module class function method object string array map set get put post http https www "
     "com org net example mail image page html json text data date time year month day test config default version release system "
     "service server client request response error message event account address payment report element document window button"
@@ -94,7 +94,7 @@ def train(words: list[str]) -> np.ndarray:
 
     ``COMMON`` words are always among the ordinary ones.
     """
-    words = words + COMMON * (1 + len(words) // 1_000)
+    words = words + COMMON * (1 + len(words) // 200)
     return _logs(random_strings()) - _logs(_identifiers(words))
 
 
