@@ -132,6 +132,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = texts.join(F.broadcast(sample), "doc_id").select("quality", "text").mapInArrow(_measured, "quality double, x array<double>")
     got = sorted((r["x"], r["quality"]) for r in rows.collect())
+    if not got:
+        return boosting.constant(0.5)
     return boosting.train(np.array([x for x, _ in got]).reshape(len(got), -1), np.array([y for _, y in got]))
 
 

@@ -65,8 +65,8 @@ def test_odd_rows(spark, odd_dir, name):
     df = catalog.QUERIES[name](spark, odd_dir)
     got = [tuple(r) for r in df.collect()]
     assert len(got) == len(ODD)
-    # rows alike in all columns get the same result but for their places in shards
-    if name != "op4_shards":
+    # rows alike in all columns get the same result but for their places in shards and what follows them
+    if name not in ("op4_shards", "op5_fingerprints"):
         assert len([r for r in set(got) if r[df.columns.index("doc_id")] == 4]) == 1
 
 
