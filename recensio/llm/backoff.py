@@ -32,6 +32,8 @@ from recensio.llm.chunks import CHUNK_BYTES, chunk_table, chunked, table_of
 #: Bigrams seen less often get no arc (a count cutoff, as usual for such models).
 MIN_COUNT = 2
 DISCOUNT = 0.75
+#: Bytes of a word's hash that are sent; its bucket says the rest.
+WORD_BYTES = 7
 _END, _START = np.uint64(0x51ED270B7F3A6C15), np.uint64(0xA24BAED4963EE407)
 
 REQUEST = "to int, chunk int, part int, kind int, keys binary, counts binary, extra binary"
@@ -147,12 +149,11 @@ def _ask_words(buckets: int):
         arcs = np.bincount(state, minlength=len(words))
         counts = walk.trained(place, len(words))
         counts[np.searchsorted(words, _START)] = walk.train.sum()
-        # answers on bigrams pass through the word buckets, so that one exchange brings both kinds to the chunk
-        rows = [(r["part"], chunk, r["part"], _ARCS, r["bits"], r["counts"], r["extra"]) for r in answers]
+        rows = []
         for b, (i, j) in enumerate(_cut(words, buckets)):
             has = arcs[i:j] > 0
             extra = _joined([A.pack_bits(has), A.pack(mass[i:j][has]), A.pack(arcs[i:j][has])])
-            rows.append((b, chunk, b, _WORDS, words[i:j].tobytes(), A.pack(counts[i:j]), extra))
+            rows.append((b, chunk, b, _WORDS, A.pack_low(words[i:j], WORD_BYTES), A.pack(counts[i:j]), extra))
         return table_of(rows, _REQUEST)
 
     return ask
@@ -172,10 +173,8 @@ def _parts(data: bytes) -> list[bytes]:
 
 
 def _count_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    rows = table.to_pylist()
-    out = [(r["chunk"], r["part"], _ARCS, r["keys"], r["counts"], r["extra"], 0, 0) for r in rows if r["kind"] == _ARCS]
-    asked = [r for r in rows if r["kind"] == _WORDS]
-    keys = [np.frombuffer(r["keys"], np.uint64) for r in asked]
+    asked, out = table.to_pylist(), []
+    keys = [A.unpack_low(r["keys"], WORD_BYTES) for r in asked]
     words, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *keys]), return_inverse=True)
     total, mass, arcs = (np.zeros(len(words), np.int64) for _ in range(3))
     j = 0
@@ -186,7 +185,7 @@ def _count_words(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         at = place[i:j][A.unpack_bits(has, len(k))]
         mass[at] += A.unpack(m)
         arcs[at] += A.unpack(a)
-    real = words != _START
+    real = words != A.unpack_low(A.pack_low(np.array([_START]), WORD_BYTES), WORD_BYTES)
     tokens, types = int(total[real].sum()), int((total[real] > 0).sum())
     j = 0
     for r, k in zip(asked, keys, strict=True):
@@ -269,7 +268,7 @@ def score_texts(
     to = lambda df: df.repartition(buckets, "to").groupBy("to")
     arcs = to(docs_of().applyInArrow(_ask_bigrams(buckets, width), REQUEST)).applyInArrow(_count_bigrams(width, min_count), REPLY)
     asked = docs_of().cogroup(arcs.groupBy("chunk")).applyInArrow(_ask_words(buckets), REQUEST)
-    replies = to(asked).applyInArrow(_count_words, REPLY)
+    replies = to(asked).applyInArrow(_count_words, REPLY).unionByName(arcs)
     kinds = [("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")]
     fields = pa.schema(
         [("doc_id", pa.int64()), ("train", pa.bool_())] + [(n, pa.int64() if t == "long" else pa.float64()) for n, t in kinds]
