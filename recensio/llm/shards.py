@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recensio.operators.scale import rank_in_group
+from recensio.operators.scale import lookup_join, rank_in_group
 from recensio.session import materialize
 
 SHARDS = 8
@@ -60,7 +60,7 @@ def _gathered(rows: DataFrame, capacity: int, shards: int, rounds: int) -> DataF
         full = [s for s, q in enumerate(quotas) if q < 0.99]
         go = chance < F.element_at(F.array(*[F.lit(q) for q in quotas]), F.col("goal") + 1)
         rows = materialize(
-            rows.join(wishes.select("group", "shard", "goal"), ["group", "shard"], "left")
+            lookup_join(rows, wishes, ["group", "shard"], seen="n")
             .withColumn("round", F.lit(turn))
             .withColumn("shard", F.when(F.col("goal").isNotNull() & go, F.col("goal")).otherwise(F.col("shard")))
             .select("row", "group", "group_size", "shard")
@@ -101,7 +101,7 @@ def shard_documents(
     n = rows.count()
     share = [n // shards + (s < n % shards) for s in range(shards)]
     groups = rows.filter(F.col("group").isNotNull()).groupBy("group").agg(F.count(F.lit(1)).alias("group_size")).filter("group_size > 1")
-    sized = materialize(rows.select("row", "doc_id", "group").join(groups, "group", "left"))
+    sized = materialize(lookup_join(rows.select("row", "doc_id", "group"), materialize(groups), ["group"], seen="group_size"))
     start = F.pmod(F.xxhash64("doc_id", "row"), F.lit(shards)).cast("int")
     linked = _gathered(
         sized.filter("group_size > 1").select("row", "group", "group_size", start.alias("shard")), min(share), shards, rounds
