@@ -42,9 +42,9 @@ def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and place of every document; documents with the same first line are linked."""
-    first_line = F.sha2(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), 256)
-    return shards.shard_documents(docs, group=first_line)
+    """Shard and place of every document; documents with a line or a longer passage in common are linked."""
+    ship(spark)
+    return shards.shard_documents(shards.shared_keys(docs.select("doc_id", "text")), links=F.col("links"))
 
 
 STAGES = [

@@ -76,6 +76,36 @@ def test_a_group_larger_than_a_shard(spark):
     assert sum(n for _, n in spread.most_common(4)) >= 0.7 * 400  # four shards would hold it at best; chance gives half
 
 
+def test_lines_and_passages_anywhere_link_documents(spark, tmp_path):
+    """Documents of a chain share a line or a passage with the next one only, never the first line."""
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows, pairs = [], []
+    for k in range(100):
+        shared = [text(12) for _ in range(3)]
+        for i in range(4):
+            own = [text(8), text(8)]
+            if k % 2:  # whole lines further down
+                own += shared[max(0, i - 1) : i + 1]
+            else:  # inside a text without line breaks
+                own = [" ".join([own[0], *shared[max(0, i - 1) : i + 1], own[1]])]
+            rows.append((4 * k + i, "\n".join(own)))
+            if i:
+                pairs.append((4 * k + i - 1, 4 * k + i))
+    rows += [(1_000 + i, text(30)) for i in range(100)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/d.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/d.parquet")
+    placed = {r["doc_id"]: r for r in corpus_pipeline.sharded_documents(spark, docs, str(tmp_path)).collect()}
+    count = Counter(r["shard"] for r in placed.values())
+    assert len(placed) == 500 and max(count.values()) - min(count.values()) <= 1
+    assert all((placed[d]["group_size"] > 1) == (d < 1_000) for d in placed)
+    together = sum(placed[a]["shard"] == placed[b]["shard"] for a, b in pairs)
+    assert together >= 0.8 * len(pairs)  # chance gives an eighth
+
+
 def test_sketches_against_plain_hashes(spark, docs, texts):
     def chain(words):
         h = 42
