@@ -120,8 +120,64 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int =
     return train(sorted(r["word"] for r in sample.mapInArrow(_some_words, "word string").collect()))
 
 
-def random_spans(data: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Text, start and end (in code points) of candidates that look random."""
+#: Per character, what a segment's sum is lessened by while its bounds are sought: the greatest sum first, then denser segments.
+_LESS = (0.0, EACH / 2, EACH)
+#: A segment that begins or ends inside a word must score so much more for each such bound.
+SWITCH = 4.0
+_JOINTS = np.zeros(256, bool)
+_JOINTS[list(b"+/_=-")] = True
+
+
+def _segment(score: np.ndarray) -> tuple[float, int, int]:
+    """Sum and bounds of the segment of at least LEAST characters with the greatest sum."""
+    upto = np.concatenate([[0.0], np.cumsum(score)])
+    gain = upto[LEAST:] - np.minimum.accumulate(upto[:-LEAST])
+    end = int(np.argmax(gain))
+    begin = int(np.argmin(upto[: end + 1]))
+    return float(gain[end]), begin, end + LEAST
+
+
+def _segments(score: np.ndarray, joint: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the parts of a run that look random: its best segments, one after another.
+
+    A segment is widened to the joints (``+/_=-``) around it, and must look
+    random so widened, or by SWITCH more as it is. What it leaves of a run that
+    looks random as a whole stays with it unless it is clearly ordinary.
+    """
+    found, todo = [], [(0, len(score))]
+    random_ = lambda x, size: x >= TOTAL and x >= EACH * size
+    while todo:
+        i, j = todo.pop()
+        if j - i < LEAST:
+            continue
+        here = score[i:j]
+        whole = random_(here.sum(), j - i)
+        for less in _LESS:
+            _, b, e = _segment(here - less)
+            left, right = np.flatnonzero(joint[i : i + b]), np.flatnonzero(joint[i + e : j])
+            begin, end = int(left[-1]) + 1 if len(left) else 0, e + int(right[0]) if len(right) else j - i
+            inside = SWITCH * (int(begin < b) + int(e < end))
+            if whole:
+                begin = begin if here[:begin].sum() <= -TOTAL else 0
+                end = end if here[end:].sum() <= -TOTAL else j - i
+            if whole or random_(here[begin:end].sum(), end - begin) or random_(here[b:e].sum() - inside, e - b):
+                found.append((i + begin, i + end))
+                todo += [(i, i + begin), (i + end, j)]
+                break
+    return sorted(found)
+
+
+def random_spans(
+    data: np.ndarray, offsets: np.ndarray, ratio: np.ndarray, apart: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, start and end (in code points) of what looks random in the candidates; ``apart`` are such spans to cut out first."""
+    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    if apart is not None and len(apart[0]):
+        place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+        base = points[offsets[apart[0]]]
+        data = data.copy()
+        for b, e in zip(place[base + apart[1]].tolist(), place[base + apart[2]].tolist(), strict=True):
+            data[b:e] = 0x20
     begins, ends, text = A.words(data, offsets, _CANDIDATE)
     long = ends - begins >= LEAST
     begins, ends, text = begins[long], ends[long], text[long]
@@ -130,14 +186,18 @@ def random_spans(data: np.ndarray, offsets: np.ndarray, ratio: np.ndarray) -> tu
     codes = np.minimum(data, _PRINTABLE - 1).astype(np.int64)
     before = np.concatenate([[0], codes[:-1]])
     size = ends - begins
-    place = np.repeat(begins - (np.cumsum(size) - size), size) + np.arange(size.sum())
-    previous = before[place]
     starts = np.cumsum(size) - size
+    place = np.repeat(begins - starts, size) + np.arange(size.sum())
+    previous = before[place]
     previous[starts] = 0
-    score = np.add.reduceat(ratio[previous, codes[place]], starts)
-    good = (score >= TOTAL) & (score >= EACH * size)
-    begins, ends, text = begins[good], ends[good], text[good]
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    score = ratio[previous, codes[place]]
+    # only runs whose best sum of positive ratios is high enough can hold a segment
+    may = np.flatnonzero(np.add.reduceat(np.maximum(score, 0), starts) >= TOTAL)
+    out = []
+    for k in may.tolist():
+        i, j = starts[k], starts[k] + size[k]
+        out += [(text[k], begins[k] + b, begins[k] + e) for b, e in _segments(score[i:j], _JOINTS[data[begins[k] : ends[k]]])]
+    text, begins, ends = np.array(out, np.int64).reshape(-1, 3).T
     base = points[offsets[text]]
     return text, points[begins] - base, points[ends] - base
 
@@ -148,8 +208,8 @@ SCANNED = "doc_id long, spans array<struct<kind:string,begin:int,end:int,base:bo
 def scan(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, spans)``, one row per row of ``docs``; ``base`` marks spans of the fixed patterns.
 
-    Spans are in code points, by start, then in the order of ``KINDS``. A random
-    candidate that meets a fixed span is left out. Null text has none. An empty
+    Spans are in code points, by start, then in the order of ``KINDS``. Random
+    strings are sought in what the fixed spans leave of a text. Null text has none. An empty
     table gives no rows; other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -159,10 +219,10 @@ def scan(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str =
         for batch in batches:
             for piece in A.pieces(batch, "text"):
                 found = [base_spans(t) for t in piece.column("text").to_pylist()]
-                owner, begins, ends = random_spans(*A.text_bytes(piece.column("text")), ratio)
+                fixed = np.array([(t, b, e) for t, f in enumerate(found) for b, _, e in f], np.int64).reshape(-1, 3).T
+                owner, begins, ends = random_spans(*A.text_bytes(piece.column("text")), ratio, tuple(fixed))
                 for t, b, e in zip(owner.tolist(), begins.tolist(), ends.tolist(), strict=True):
-                    if not any(s < e and b < f for s, k, f in found[t] if k < 3):
-                        found[t].append((b, 3, e))
+                    found[t].append((b, 3, e))
                 out = [[{"kind": KINDS[k], "begin": b, "end": e, "base": k < 3} for b, k, e in sorted(f)] for f in found]
                 yield pa.record_batch([piece.column("doc_id"), pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
 

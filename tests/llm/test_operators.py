@@ -222,6 +222,32 @@ def test_markov_models_tell_unseen_strings_apart():
     assert share(["getElementByIdFromDocument", "user_account_balance_2024", "2024-01-02-03-04-05", "-" * 40]) == 0
 
 
+def test_random_parts_of_long_runs(spark):
+    """Keys behind and before long ordinary names, two in a run, and joined to a fixed pattern."""
+    ship(spark)
+    words = "thering anon bleation retion wherand handle station person matter under window over letter".split() * 30
+    ratio = credentials.train(words)
+    rng = random.Random(4)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    key = lambda n: "".join(rng.choices(alphabet, k=n))
+    name = "/".join(rng.choices(words, k=14))
+    rows = []
+    for i in range(100):
+        a, b = key(20 + i % 21), key(24)
+        rows += [(f"é {name}/{a}", [a]), (f"{a}-{name} é", [a]), (f"{a}/{name}/{b}/{name}", [a, b])]
+        rows += [(f"AKIA{'Q' * 16}-{a} é {'0123456789abcdef' * 2}_{b}", [a, b]), (f"é {name}/{name}", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    found = total = 0
+    for r in credentials.scan(df, ratio).collect():
+        text, keys = rows[r["doc_id"]]
+        spans = [(s["begin"], s["end"]) for s in r["spans"] if not s["base"]]
+        assert keys or not spans
+        assert all(e - b < len(name) for b, e in spans)  # the ordinary rest stays outside
+        found += sum(any(b <= text.index(k) and text.index(k) + len(k) <= e for b, e in spans) for k in keys)
+        total += len(keys)
+    assert found >= 0.97 * total
+
+
 def test_a_failing_match_is_passed_over():
     assert credentials.base_spans("secret:token:abcdefgh") == []
     assert credentials.base_spans("Token = 'abcdef' AKIA" + "A" * 16) == [(0, 0, 15), (17, 1, 37)]
