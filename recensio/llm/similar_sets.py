@@ -337,8 +337,15 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
     """
     members = similarity_classes(docs, doc_id, text, **settings)
     first = members.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("k"))
+    taken, names = {c.lower() for c in docs.columns}, []
+    for name in ("_id", "_text"):
+        while name in taken:
+            name += "_"
+        names.append(name)
+    own_id, own_text = names
     keepers = first.select(F.col("k.doc_id").alias("_keep_id"), F.col("k.text_hash").alias("_keep_text"))
-    keyed = docs.withColumns({"_id": F.col(doc_id).cast("long"), "_text": F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))})
-    same = F.col("_id").eqNullSafe(F.col("_keep_id")) & (F.col("_text") == F.col("_keep_text"))
+    keys = [F.col(doc_id).cast("long").alias(own_id), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias(own_text)]
+    keyed = docs.select("*", *keys)
+    same = keyed[own_id].eqNullSafe(keepers["_keep_id"]) & (keyed[own_text] == keepers["_keep_text"])
     kept = keyed.join(keepers, same, "left_semi")
-    return kept.dropDuplicates(["_id", "_text"]).select(*docs.columns)
+    return kept.dropDuplicates(names).select(*docs.columns)

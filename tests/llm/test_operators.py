@@ -50,6 +50,13 @@ def test_clashing_names(spark, docs):
     assert quality.score(odd, boosting.constant(0.5), name="score").filter("score = 0.5").count() == 40
 
 
+def test_clashing_names_keep_their_values(spark):
+    ship(spark)
+    rows = [(i, f"text number {i} has words of its own q{i}", "x", f"y{i}", "z") for i in range(6)]
+    odd = spark.createDataFrame(rows + rows[:1], "doc_id long, text string, _id string, _text string, _keep_id string")
+    assert sorted(tuple(r) for r in similar_sets.one_of_each(odd).collect()) == rows
+
+
 def test_shards_are_even_and_keep_groups(spark, docs):
     rows = catalog.QUERIES["op4_shards"](spark, SF_DIR).collect()
     count = Counter(r["shard"] for r in rows)
