@@ -118,19 +118,26 @@ def _in_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in _in_pieces(batches):
         x = statistics(piece.column("text"))
-        yield pa.record_batch([piece.column("quality"), pa.array(list(x), pa.list_(pa.float64()))], names=["quality", "x"])
+        columns = [piece.column("doc_id"), piece.column("quality"), pa.array(list(x), pa.list_(pa.float64()))]
+        yield pa.record_batch(columns, names=["doc_id", "quality", "x"])
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", most: int = TRAIN_ROWS) -> boosting.Forest:
     """Forest from ``labels(doc_id, quality)`` of ``docs``; rows without id or label are left out.
 
-    An id labelled several times counts as 1 if at least half of its labels are.
+    An id labelled several times counts as 1 if at least half of its labels are; of
+    several rows of an id the text with the smallest hash is taken.
     """
     known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("double").alias("quality")).dropna()
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).cast("double").alias("quality"))
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)  # at most `most` rows of two numbers
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").select("quality", "text").mapInArrow(_measured, "quality double, x array<double>")
+    found = texts.join(F.broadcast(sample), "doc_id")
+    # the least hash of an id first, so that no text but the taken one moves
+    least = found.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("h"))
+    one = found.withColumn("h", F.xxhash64("text")).join(F.broadcast(least), ["doc_id", "h"])
+    measured = one.select(F.col("doc_id").cast("string").alias("doc_id"), "quality", "text").mapInArrow(_measured, "doc_id string, quality double, x array<double>")
+    rows = measured.groupBy("doc_id").agg(F.min(F.struct("quality", "x")).alias("r")).select("r.quality", "r.x")
     got = sorted((r["x"], r["quality"]) for r in rows.collect())
     if not got:
         return boosting.constant(0.5)

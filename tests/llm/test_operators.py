@@ -57,6 +57,18 @@ def test_clashing_names_keep_their_values(spark):
     assert sorted(tuple(r) for r in similar_sets.one_of_each(odd).collect()) == rows
 
 
+def test_one_row_of_a_labelled_id_is_learned(spark, monkeypatch):
+    """However many rows an id has, one of them reaches the driver, the same in any order."""
+    ship(spark)
+    rows = [(1, f"Many rows of one id, {i}.") for i in range(200)] + [(2, "Another one."), (2, "Another one."), (3, None)]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(boosting, "train", lambda x, y: seen.append((x.tolist(), y.tolist())))
+    for order in (rows, rows[::-1]):
+        quality.fit(spark.createDataFrame(order, "doc_id long, text string"), labels)
+    assert seen[0] == seen[1] and sorted(seen[0][1]) == [0.0, 0.0, 1.0]
+
+
 def test_shards_are_even_and_keep_groups(spark, docs):
     rows = catalog.QUERIES["op4_shards"](spark, SF_DIR).collect()
     count = Counter(r["shard"] for r in rows)
