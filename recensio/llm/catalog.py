@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recensio.llm import backoff, credentials, langnet, leaks, mixing, quality, repeats, shards, similar_sets, sketch
+from recensio.llm import backoff, centroids, credentials, langnet, leaks, mixing, negatives, quality, repeats, shards, similar_sets, simhash, sketch
 from recensio.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -319,6 +319,85 @@ def op10(spark, sf_dir):
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= quality.KEEP).cast("int").alias("predicted"))
 
 
+# Ten rounds of assignment and floored means over single components, written out as one chain.
+def _clusters_sql(rounds: int) -> str:
+    chain = []
+    for k in range(rounds + 1):
+        chain.append(f"""d{k} as materialized (
+  select p.v, c.j, sum((p.x - c.x) * (p.x - c.x))::bigint as d from parts p join c{k} c using (i) group by p.v, c.j),
+a{k} as materialized (
+  select v, j, d from d{k} qualify row_number() over (partition by v order by d, j) = 1)""")
+        if k < rounds:
+            chain.append(f"""m{k} as (
+  select a.j, i, sum(x)::bigint as s, count(*)::bigint as n from parts p join a{k} a using (v) group by a.j, i),
+c{k + 1} as materialized (
+  select j, i, case when n is null then x else (s - ((s % n) + n) % n) // n end as x from c{k} left join m{k} using (j, i))""")
+    return ",\n".join(chain)
+
+
+OP11_SQL = (
+    r"""
+with kept as (
+  select row_number() over () as v, vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as w
+  from embeddings where len(embedding) = 64 and len(list_filter(embedding, lambda x: isfinite(x))) = 64),
+parts as materialized (select v, unnest(range(1, 65)) as i, unnest(w) as x from kept),
+starts as (
+  select v, row_number() over (order by sha256('3:' || vec_id), w) - 1 as j from kept
+  qualify row_number() over (order by sha256('3:' || vec_id), w) <= 8),
+c0 as (select j, i, x from starts join parts using (v)),
+"""
+    + _clusters_sql(centroids.ROUNDS)
+    + f""",
+sums as (select j, sum(d)::bigint as cluster_inertia from a{centroids.ROUNDS} group by j),
+ends as (select j, sha256(string_agg(x::varchar, ',' order by i)) as centroid_sha256 from c{centroids.ROUNDS} group by j)
+select vec_id, j::int as cluster, d as distance, cluster_inertia, (select sum(d)::bigint from a{centroids.ROUNDS}) as inertia,
+  centroid_sha256
+from a{centroids.ROUNDS} join kept using (v) join sums using (j) join ends using (j)
+"""
+)
+
+
+@query("op11_centroids", OP11_SQL)
+def op11(spark, sf_dir):
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    written = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest(written).alias("centroid_sha256"))
+
+
+OP12_SQL = r"""
+with rows_ as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as w
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id as vec_id, a.label = c.label as alike, list_dot_product(a.w, c.w)::bigint as score
+  from rows_ a join rows_ c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where alike
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+found as (
+  select p.*, n.vec_id as negative_id, n.score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by n.score desc, n.vec_id)::int as rank
+  from positives p join scored n using (anchor_id)
+  where not n.alike and 30 * positive_score <= 100 * n.score and 100 * n.score <= 90 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from found where rank <= 10
+"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return negatives.hard_negatives(vectors, vec_id % 100 == 0, label=moved)
+
+
+@query("op13_simhash")
+def op13(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries():
     return dict(QUERIES)
 
