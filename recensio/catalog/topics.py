@@ -68,6 +68,13 @@ def m02(spark, sf_dir):
     return reduced.withColumn("reduced", F.array_join("reduced", ","))
 
 
+def _by_first(found):
+    """Clusters named by their smallest id."""
+    first = found.groupBy("cluster").agg(F.min("vec_id").alias("first"))
+    named = F.when(F.col("cluster") == density.NOISE, F.lit(-1)).otherwise(F.col("first"))
+    return found.join(F.broadcast(first), "cluster").select("vec_id", named.cast("long").alias("cluster"))
+
+
 @query("m03_density_cluster")
 def m03(spark, sf_dir):
     reduced = encode.reduce_vectors(vectors(spark, sf_dir), "vec_id")
@@ -86,10 +93,25 @@ def m03b(spark, sf_dir):
     x = F.when(far, 1000.0 + i * 1000.0).otherwise((k % 3) * 10 + (i % 7 - 3) * 0.04)
     y = F.when(far, -1000.0 - i).otherwise(F.floor(k / 3) * 10 + (i % 5 - 2) * 0.04)
     placed = table(spark, sf_dir, "embeddings").select("vec_id", F.array(x, y).alias("p"))
-    found = density.density_cluster(placed, "vec_id", "p")
-    first = found.groupBy("cluster").agg(F.min("vec_id").alias("first"))
-    named = F.when(F.col("cluster") == density.NOISE, F.lit(-1)).otherwise(F.col("first"))
-    return found.join(F.broadcast(first), "cluster").select("vec_id", named.cast("long").alias("cluster"))
+    return _by_first(density.density_cluster(placed, "vec_id", "p"))
+
+
+@query(
+    "m03c_clusters_in_noise",
+    """select vec_id, case when vec_id % 10 = 0 then -1
+      else min(vec_id) over (partition by label, vec_id % 10 = 0) end as cluster from embeddings""",
+)
+def m03c(spark, sf_dir):
+    """Labels as spots between the knots of a wide lattice on which every tenth row lies alone."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    side = rows.agg(F.ceil(F.sqrt(F.count(F.lit(1)) / 10)).alias("side"))  # one row
+    i, k, knot = F.col("vec_id"), F.col("label"), F.floor(F.col("vec_id") / 10)
+    alone = i % 10 == 0
+    step = F.greatest(F.lit(1), F.floor(F.col("side") / 4)) * 5
+    x = F.when(alone, knot % F.col("side") * 5).otherwise(k % 4 * step + 2.5 + (i % 7 - 3) * 0.04)
+    y = F.when(alone, F.floor(knot / F.col("side")) * 5).otherwise(F.floor(k / 4) * step + 2.5 + (F.floor(i / 7) % 5 - 2) * 0.04)
+    placed = rows.join(F.broadcast(side)).select("vec_id", F.array(x, y).alias("p"))
+    return _by_first(density.density_cluster(placed, "vec_id", "p"))
 
 
 @query("m04_topic_term_counts", f"{WORDS_CTE} select topic, term, tf from counts")

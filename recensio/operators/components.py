@@ -22,6 +22,7 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = materialize(both)
+    kind = dict(nodes.dtypes)["node"]
     parents = materialize(nodes.select("node", F.col("node").alias("parent")))
     for _ in range(rounds):
         lifted = parents.join(
@@ -35,12 +36,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
         hooked = lifted.join(nearest, "node", "left").select(
             "node", "parent", F.least("parent", "grand", F.coalesce("near", "grand")).alias("low")
         )
-        proposals = hooked.select("node", "low").union(hooked.select("parent", "low"))
-        updated = materialize(proposals.groupBy("node").agg(F.min("low").alias("parent")))
-        changed = updated.join(parents.withColumnRenamed("parent", "old"), "node").filter(
-            F.col("parent") != F.col("old")
+        proposals = hooked.select("node", "low", F.col("parent").alias("old")).union(
+            hooked.select("parent", "low", F.lit(None).cast(kind))
         )
-        parents = updated
-        if changed.isEmpty():
+        # what a parent was before rides along, so the end shows without another join
+        updated = materialize(proposals.groupBy("node").agg(F.min("low").alias("parent"), F.max("old").alias("old")))
+        parents = updated.select("node", "parent")
+        if updated.filter(F.col("parent") != F.col("old")).isEmpty():
             return parents.select("node", F.col("parent").alias("component"))
     raise RuntimeError(f"components did not settle in {rounds} rounds")

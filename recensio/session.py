@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,23 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(folder)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package's sources to the executors, once per application, for functions that run in Python workers."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    file = Path(tempfile.mkdtemp(prefix="recensio-package-")) / "recensio_package.zip"
+    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(top.rglob("*.py")):
+            z.write(source, source.relative_to(top.parent))
+    sc.addPyFile(str(file))
+    _shipped.add(sc.applicationId)
+
+
 _given: dict[str, list[str]] = {}
 
 
