@@ -314,7 +314,8 @@ def hard_negatives(
     else:
         names = rows.select("row", "id")
         for c in ("anchor", "positive", "row"):
-            out = out.join(names.select(F.col("row").alias("_row"), F.col("id").alias(f"_{c}")), F.col(c) == F.col("_row")).drop("_row")
+            named = names.select(F.col("row").alias(f"_{c}_row"), F.col("id").alias(f"_{c}"))
+            out = out.join(named, F.col(c) == F.col(f"_{c}_row")).drop(f"_{c}_row")
         ids = {c: F.col(f"_{c}") for c in ("anchor", "positive", "row")}
     return out.select(
         ids["anchor"].alias("anchor_id"),

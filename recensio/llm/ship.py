@@ -1,27 +1,5 @@
 """Make the package importable in Python workers, wherever the driver was started."""
 
-from __future__ import annotations
+from recensio.session import ship
 
-import tempfile
-import zipfile
-from pathlib import Path
-
-from pyspark.sql import SparkSession
-
-import recensio
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send the package's sources to the executors, once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = Path(recensio.__file__).resolve().parent
-    file = Path(tempfile.mkdtemp(prefix="recensio-package-")) / "recensio_package.zip"
-    with zipfile.ZipFile(file, "w", zipfile.ZIP_DEFLATED) as z:
-        for source in sorted(top.rglob("*.py")):
-            z.write(source, source.relative_to(top.parent))
-    sc.addPyFile(str(file))
-    _shipped.add(sc.applicationId)
+__all__ = ["ship"]
