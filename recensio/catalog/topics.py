@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from recensio.catalog.base import WITH_REVIEWS, query, reviews, table
@@ -9,7 +11,8 @@ from recensio.catalog.features import PUNCT, hits
 from recensio.catalog.text import WORD
 from recensio.functions import features as fx
 from recensio.functions.text import normalize_sentiment
-from recensio.operators import density, encode, evaluate, forest, topics as tp
+from recensio.operators import density, encode, evaluate, forest, spectral, topics as tp
+from recensio.session import materialize
 from recensio.sources.readers import spread
 
 # Topics of the test tables: the source number less one, so src0 plays noise.
@@ -75,6 +78,28 @@ def _by_first(found):
     return found.join(F.broadcast(first), "cluster").select("vec_id", named.cast("long").alias("cluster"))
 
 
+@query(
+    "m02c_planted_rings",
+    """select vec_id, min(vec_id) over (partition by vec_id % greatest(1, (select count(*) from embeddings) // 64)) as cluster
+    from embeddings""",
+)
+def m02c(spark, sf_dir):
+    """Some 64 rows each on circles and half circles, every one in a plane of its own through all 64 dimensions.
+
+    Principal directions see a few of the planes only; neighbours follow each curve.
+    """
+    rows = table(spark, sf_dir, "embeddings").select("vec_id")
+    sizes = rows.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / 64)).alias("groups"), F.count(F.lit(1)).alias("n"))  # one row
+    g = F.col("vec_id") % F.col("groups")
+    turn = F.floor(F.col("vec_id") / F.col("groups")) / F.ceil(F.col("n") / F.col("groups")) * F.when(g % 2 == 0, 2 * math.pi).otherwise(math.pi)
+    placed = rows.join(F.broadcast(sizes)).select("vec_id", g.alias("g"), turn.alias("turn"))
+    sign = lambda which, d: F.shiftright(F.xxhash64("g", F.lit(which)), d).bitwiseAND(F.lit(1)) * 2 - 1
+    curve = F.array(*[F.cos("turn") * sign(1, d) + F.sin("turn") * sign(2, d) for d in range(64)])
+    vectors_ = materialize(placed.select("vec_id", curve.alias("vector")))
+    reduced = spectral.reduce_by_neighbours(vectors_, "vec_id")
+    return _by_first(density.density_cluster(reduced, "vec_id", "reduced"))
+
+
 @query("m03_density_cluster")
 def m03(spark, sf_dir):
     reduced = encode.reduce_vectors(vectors(spark, sf_dir), "vec_id")

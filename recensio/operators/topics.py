@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import PCA, StopWordsRemover
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -13,9 +13,10 @@ from recensio.functions.features import let, terms
 from recensio.functions.wordlists import TOPIC_NOISE_WORDS
 from recensio.operators.blocks import with_blocks
 from recensio.operators.density import NOISE, density_cluster
-from recensio.operators.encode import encode_documents, reduce_vectors
+from recensio.operators.encode import encode_documents
 from recensio.operators.scale import lookup_join, number_in_order
 from recensio.operators.vectors import cosine, dot
+from recensio.operators.spectral import reduce_by_neighbours
 from recensio.session import materialize
 
 #: Fewer texts than this are not modelled.
@@ -177,15 +178,19 @@ def fit_topics(
     stop: Sequence[str] | None = None,
     probabilities: bool = False,
     dims: int = 5,
+    reduce: Callable[..., DataFrame] = reduce_by_neighbours,
 ) -> dict[str, DataFrame]:
     """Encode, reduce, cluster, and describe; the four tables of a topic model.
 
+    ``reduce`` keeps neighbours together; ``reduce_vectors`` (principal directions) is the quicker way for
+    vectors that lie in plain heaps.
+
     Texts without a vector are noise. ``probabilities`` adds every topic's share
     to every row, so its size is that of rows times topics; it is off unless asked for.
     """
     docs = df.select(key, text)
     vectors = materialize(vectors if vectors is not None else encode_documents(docs, key, text))
-    reduced = reduce_vectors(vectors, key, dims=dims)
+    reduced = reduce(vectors, key, dims=dims)
     clustered = density_cluster(reduced, key, "reduced", min_topic_size)
     clusters = docs.select(key).join(clustered, key, "left").withColumn(
         "cluster", F.coalesce("cluster", F.lit(NOISE))

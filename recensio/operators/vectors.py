@@ -2,26 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from math import isqrt, sqrt
+from math import sqrt
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.functions.features import let
+from recensio.operators.cells import MOST_MOST, grow, visits
 from recensio.operators.scale import lookup_join, salted
 from recensio.session import materialize
 
-MOST_ROWS = 4_000
 BOUND_DIMS = 16
-#: Most pivots; each is one vector in every task.
-PIVOTS = 256
-#: Vectors that pivots are picked from.
-SAMPLE = 4_096
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -45,40 +38,15 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(F.sqrt(dot(a, a) * dot(b, b)), F.lit(0.0))
 
 
-def _apart(vectors: np.ndarray, most: int) -> np.ndarray:
-    """Up to ``most`` different vectors, each the farthest from those before."""
-    picked, nearest = [0], 1 - vectors @ vectors[0]
-    while len(picked) < most and nearest.max() > 1e-9:
-        picked.append(int(nearest.argmax()))
-        nearest = np.minimum(nearest, 1 - vectors @ vectors[picked[-1]])
-    return vectors[picked]
+def pivot_cells(units: DataFrame, reach: float, most: int | None = None) -> DataFrame:
+    """``(id, home, cell)``: every vector in its own cell of a tree, and in each cell it can reach.
 
-
-def pivot_cells(units: DataFrame, reach: float, most_pivots: int = PIVOTS) -> DataFrame:
-    """``(id, home, cell)``: every vector in the cell of its nearest pivot, and in each cell it can reach.
-
-    Pivots are picked from a sample, each the farthest from those before. A vector y at home with q
-    can lie within ``reach`` of one at home with p only if its distance from the
-    plane between both pivots, (|y-p|^2 - |y-q|^2) / (2 |p-q|), is at most
-    ``reach``; only then it is copied to p.
+    Cells with more than ``most`` vectors at home are split again (see ``cells``), so
+    the largest stays bounded however many vectors there are.
     """
-    n = units.count()
-    sample = units.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()  # at most SAMPLE vectors
-    pivots = _apart(np.array([r["v"] for r in sample]), min(most_pivots, 2 * isqrt(n) + 1))
-    between = np.sqrt(np.maximum(0.0, 2 - 2 * np.clip(pivots @ pivots.T, -1, 1)))
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                rows = batch.iloc[start : start + 1024]
-                far2 = 2 - 2 * (np.vstack(rows["v"].to_numpy()) @ pivots.T)
-                home = far2.argmin(axis=1)
-                own = far2[np.arange(len(rows)), home]
-                row, cell = np.nonzero(far2 - own[:, None] <= 2 * reach * between[home] + 1e-9)
-                yield pd.DataFrame({"id": rows["id"].to_numpy()[row], "home": home[row], "cell": cell})
-
-    kind = dict(units.dtypes)["id"]
-    return units.select("id", "v").mapInPandas(place, f"id {kind}, home int, cell int")
+    homes, tree = grow(units.select("id", "v"), most)
+    asking = homes.select("id", "v", F.lit(reach).alias("reach"), F.col("cell").alias("home"))
+    return visits(asking, tree).select("id", "home", "cell")
 
 
 def similar_vectors(
@@ -87,7 +55,7 @@ def similar_vectors(
     vector: str,
     threshold: float,
     inclusive: bool = True,
-    most: int = MOST_ROWS,
+    most: int | None = None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Exact pairs with cosine >= threshold, and the groups of equal vectors.
 
@@ -96,9 +64,10 @@ def similar_vectors(
     every row, from which all pairs of rows can be rebuilt.
 
     On unit vectors the condition is a distance of at most sqrt(2 - 2t). Vectors
-    meet in the cells of pivots (see ``pivot_cells``), a pair in the cell of the lower
-    pivot only, and are sieved by their distance in the leading principal
-    directions, which is never longer, before any full vector moves.
+    meet in the cells of a tree (see ``pivot_cells``), a pair in the lower of both
+    cells at home only, and are sieved by their distance in the leading principal
+    directions, which is never longer, before any full vector moves. ``most`` bounds a cell and
+    the rows of one that a task compares; without it cells grow with the root of the rows up to a bound.
     """
     reach = sqrt(max(0.0, 2 - 2 * threshold)) + 1e-6
     units = df.select(F.col(key).alias("id"), unit(F.col(vector)).alias("v")).filter(F.col("v").isNotNull())
@@ -118,9 +87,9 @@ def similar_vectors(
     model = PCA(k=kept, inputCol="features", outputCol="p").fit(vectors)
     projected = materialize(model.transform(vectors).select("id", vector_to_array("p").alias("p")))
     flat = projected.select("id", *[F.col("p")[i].alias(f"p{i}") for i in range(kept)])
-    placed = materialize(pivot_cells(firsts, reach).join(flat, "id"))
+    placed = materialize(pivot_cells(firsts, reach, most).join(flat, "id"))
     at_home = placed.filter(F.col("home") == F.col("cell"))
-    left, right, keys = salted(at_home, placed, ["cell"], "id", most)
+    left, right, keys = salted(at_home, placed, ["cell"], "id", most or MOST_MOST)
     a, b = left.alias("a"), right.alias("b")
     far2 = sum(
         ((F.col(f"a.p{i}") - F.col(f"b.p{i}")) * (F.col(f"a.p{i}") - F.col(f"b.p{i}")) for i in range(1, kept)),
