@@ -32,6 +32,8 @@ RADIUS = 3
 BITS = 64
 #: Different fingerprints that are compared at once; more are split by further masks.
 BUCKET = 256
+#: Bits outside a mask that are few enough: no more than 2 ** LEFT fingerprints share a key.
+LEFT = 8
 #: Bytes of a text that are cut into words at once, and shingles whose bits are counted at once.
 PIECE = 1 << 20
 COUNTED = 1 << 14
@@ -135,13 +137,16 @@ def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
         sizes = keyed.groupBy("path", "key").agg(F.count(F.lit(1)).alias("n"), F.min("bits").alias("a"), F.max("bits").alias("b"))
         sizes = materialize(sizes.filter("n > 1"))
         two = sizes.filter("n = 2").filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius).select("a", "b")
-        many = sizes.filter(F.col("n").between(3, BUCKET)).select("path", "key", "n")
+        # where few bits are left, a bucket is small by itself
+        last = max(BITS - m.bit_count() for m in finer) <= LEFT
+        small = F.lit(True) if last else F.col("n") <= BUCKET
+        many = sizes.filter((F.col("n") > 2) & small).select("path", "key", "n")
         members = lookup_join(keyed, many, ["path", "key"], "inner", seen="n")
-        buckets = members.groupBy("path", "key").agg(F.collect_list("bits").alias("bucket"))  # at most BUCKET each
+        buckets = members.groupBy("path", "key").agg(F.collect_list("bits").alias("bucket"))  # at most BUCKET or 2 ** LEFT each
         found = two.unionByName(buckets.select("bucket").mapInArrow(_forest(radius), "a long, b long"))
         links = found if links is None else links.unionByName(found)
-        hot = sizes.filter(F.col("n") > BUCKET).select("path", "key", "n")
-        if hot.isEmpty():
+        hot = sizes.filter(~small).select("path", "key", "n")
+        if last or hot.isEmpty():
             rows = None
         else:
             rows = materialize(lookup_join(keyed, hot, ["path", "key"], "inner", seen="n").select("bits", "path"))
