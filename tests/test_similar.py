@@ -137,3 +137,31 @@ def test_few_pairs_of_clustered_vectors_meet(spark):
     home = placed.filter("home = cell").select("cell", F.col("id").alias("a"), F.col("home").alias("h"))
     met = home.join(placed, "cell").filter("h < home or (h = home and a < id)").count()
     assert met < 0.1 * 1_000 * 999 / 2
+
+
+def test_keys_of_common_terms_grow_longer(spark, monkeypatch):
+    """Different texts that share common terms: compared pairs grow more slowly than their square."""
+    from recensio.operators import similar, weights
+
+    rng = np.random.default_rng(9)
+
+    def compared(n, most):
+        """Entries that meet, and whether all pairs of brute force are among the candidates."""
+        rows = [(i, " ".join(["alpha", "beta"] * 2 + [f"c{j}" for j in rng.choice(30, 8, replace=False)])) for i in range(n)]
+        rows += [(n + i, f"other{i % 7} words{i % 5}") for i in range(n // 3)]
+        table = weights.term_weights(spark.createDataFrame(rows, "id long, text string"), "id", "text")
+        prefix = similar._prefix(table, 0.9)
+        counted = []
+        monkeypatch.setattr(similar, "salted", lambda a, b, keys, by, m: (counted.append(a.groupBy("key").count().selectExpr("sum(count * count)").first()[0]), (a, b, keys))[1])
+        found = {(r["id1"], r["id2"]) for r in similar._by_common_terms(table, prefix, 0.9, most).collect()}
+        vector = {}
+        for r in table.collect():
+            vector.setdefault(r["id"], {})[r["term"]] = r["weight"]
+        first = {r["id"]: r["k1"] for r in prefix.filter(F.col("df") > most).select("id", "k1").collect()}
+        close = {(a, b) for a in first for b in first if a < b and sum(w * vector[b].get(k, 0.0) for k, w in vector[a].items()) >= 0.9}
+        rare = {r["term"] for r in table.filter(F.col("df") <= most).select("term").distinct().collect()}
+        assert all((a, b) in found for a, b in close if not rare & vector[a].keys() & vector[b].keys())
+        return sum(counted)
+
+    few, many = compared(150, 10), compared(600, 10)
+    assert many < 10 * few
