@@ -120,3 +120,14 @@ def test_zero_vectors_match_with_score_zero(spark):
     labels = spark.createDataFrame([("x", 0, [1.0, 0.0])], "label string, pos int, vector array<double>")
     row = evaluate.match_taxonomy(topics, labels).first()
     assert (row["similarity_score"], row["match_type"]) == (0.0, "Weak/New")
+
+
+def test_labels_of_a_list_have_columns_of_their_own(spark):
+    rows = [(1, ["a", "b", "a"], "it", 1.0), (2, ["b"], "en", 2.0), (3, [], "it", 3.0), (4, ["new"], "fr", 4.0)]
+    df = spark.createDataFrame(rows, "id long, labels array<string>, language string, rating double")
+    df = df.withColumns({"review_date": F.to_date(F.lit("1970-01-02")), "sentiment": F.lit("x")})
+    matrix, names = forest.feature_matrix(df, numeric=["rating"], learn_from=F.col("id") < 4)
+    listed = [r["feature"] for r in names.table.orderBy("place").collect()]
+    assert listed == ["labels_b", "labels_a", "language_it", "language_en", "rating", "review_date"] and len(names) == 6
+    got = {r["id"]: r["features"].toArray().tolist() for r in matrix.collect()}
+    assert got == {1: [1, 1, 1, 0, 1, 86400], 2: [1, 0, 0, 1, 2, 86400], 3: [0, 0, 1, 0, 3, 86400], 4: [0, 0, 0, 0, 4, 86400]}
