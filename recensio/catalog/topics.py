@@ -185,6 +185,20 @@ def m07(spark, sf_dir):
     return probs.select("vec_id", F.posexplode("probs").alias("topic", "prob")).withColumn("prob", F.round("prob", 6))
 
 
+@query(
+    "m07b_best_probabilities",
+    f"""{VECTORS_CTE}, p as (select vec_id, centres.topic, exp(-list_distance(v, c)) as e from vecs, centres),
+    shares as (select vec_id, topic, e / sum(e) over (partition by vec_id) as prob,
+      row_number() over (partition by vec_id order by e desc, topic)::int as nth from p)
+    select vec_id, nth, cast(topic as int) as topic, round(prob, 6) as prob,
+      round(1 - sum(prob) over (partition by vec_id), 6) + 0 as rest from shares where nth <= 3""",
+)
+def m07b(spark, sf_dir):
+    found = tp.top_probabilities(vectors(spark, sf_dir), centres(spark, sf_dir), "vec_id", k=3)
+    each = found.select("vec_id", "rest", F.posexplode("best").alias("nth", "t"))
+    return each.select("vec_id", (F.col("nth") + 1).alias("nth"), "t.topic", F.round("t.prob", 6).alias("prob"), F.round("rest", 6).alias("rest"))
+
+
 @query(
     "m08_topic_metrics",
     f"""with assigned as ({ASSIGNED_SQL}) select count(distinct topic) filter (topic <> -1) as n_topics,

@@ -19,6 +19,8 @@ from recensio.operators.vectors import cosine, dot
 from recensio.operators.spectral import reduce_by_neighbours
 from recensio.session import materialize
 
+#: Topics of a row whose probabilities are told one by one.
+BEST_TOPICS = 10
 #: Fewer texts than this are not modelled.
 MIN_DOCUMENTS = 11
 
@@ -128,6 +130,37 @@ def topic_probabilities(vectors: DataFrame, centres: DataFrame, key: str, vector
     return scored.select(key, let(F.col("scores"), softmax).alias("probs"))
 
 
+def top_probabilities(vectors: DataFrame, centres: DataFrame, key: str, vector: str = "vector", k: int = BEST_TOPICS) -> DataFrame:
+    """``(key, best, rest)``: the ``k`` most probable topics as ``(topic, prob)``, and the probability of all others.
+
+    The softmax of ``topic_probabilities`` without an array of all topics: of every block of topics a row keeps its
+    ``k`` best and the sum of the block's powers, so a row's state does not grow with a block.
+    Ties go to the smaller topic; ``rest`` is 0 where there are no others.
+    """
+    rows = vectors.select(key, F.col(vector).cast("array<double>").alias("_v"))
+    scored = with_blocks(rows, centres.select("topic", "vector")).select(
+        key,
+        F.transform(
+            "items", lambda t: F.struct((-_distance(F.col("_v"), t["vector"])).alias("score"), (-t["topic"]).alias("minus"))
+        ).alias("part"),
+    )
+    top = F.array_max(F.transform("part", lambda s: s["score"]))
+    powers = let(top, lambda m: F.aggregate(F.transform("part", lambda s: F.exp(s["score"] - m)), F.lit(0.0), lambda a, x: a + x))
+    best = F.slice(F.sort_array("part", asc=False), 1, k)
+    parts = scored.select(key, top.alias("top"), powers.alias("powers"), best.alias("best"))
+    merged = parts.groupBy(key).agg(
+        F.max("top").alias("top"),
+        F.collect_list(F.struct("top", "powers")).alias("sums"),
+        F.slice(F.sort_array(F.flatten(F.collect_list("best")), asc=False), 1, k).alias("best"),
+    )
+    total = F.aggregate("sums", F.lit(0.0), lambda a, s: a + s["powers"] * F.exp(s["top"] - F.col("top")))
+    merged = merged.withColumn("total", total)
+    named = F.transform("best", lambda s: F.struct((-s["minus"]).alias("topic"), (F.exp(s["score"] - F.col("top")) / F.col("total")).alias("prob")))
+    named = merged.select(key, named.alias("best"))
+    held = F.aggregate("best", F.lit(0.0), lambda a, t: a + t["prob"])
+    return named.select(key, "best", F.greatest(F.lit(0.0), 1 - held).alias("rest"))
+
+
 def topic_metrics(doc_topics: DataFrame) -> DataFrame:
     """``(n_topics, n_docs, n_outliers, outlier_percentage)``; noise is no topic."""
     sizes = doc_topics.groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
@@ -185,8 +218,8 @@ def fit_topics(
     ``reduce`` keeps neighbours together; ``reduce_vectors`` (principal directions) is the quicker way for
     vectors that lie in plain heaps.
 
-    Texts without a vector are noise. ``probabilities`` adds every topic's share
-    to every row, so its size is that of rows times topics; it is off unless asked for.
+    Texts without a vector are noise. ``probabilities`` adds each row's most
+    probable topics and the share of all others (see ``top_probabilities``).
     """
     docs = df.select(key, text)
     vectors = materialize(vectors if vectors is not None else encode_documents(docs, key, text))
@@ -198,7 +231,7 @@ def fit_topics(
     doc_topics = materialize(number_topics(clusters, key))
     centres = materialize(topic_vectors(doc_topics, vectors, key))
     if probabilities:
-        doc_topics = doc_topics.join(topic_probabilities(vectors, centres, key), key, "left")
+        doc_topics = doc_topics.join(top_probabilities(vectors, centres, key), key, "left")
     stop = stop_words(brand_words) if stop is None else stop
     counts = topic_term_counts(docs.join(doc_topics.select(key, "topic"), key), text, stop=stop)
     words = materialize(top_words(class_tfidf(counts)))
