@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from recensio.llm import arrays as A
 from recensio.llm.chunks import CHUNK_BYTES, chunk_table, chunked, table_of
 
-#: Bigrams seen less often get no arc (a count cutoff, as usual for such models).
-MIN_COUNT = 2
+#: Bigrams seen less often get no arc; 1: every bigram that was seen has one.
+MIN_COUNT = 1
 DISCOUNT = 0.75
 #: Bytes of a word's hash that are sent; its bucket says the rest.
 WORD_BYTES = 7

@@ -66,7 +66,7 @@ OP1_SQL = (
   from documents d join folds f using (doc_id)),
 tokens as (select doc_id, held_out, unnest(list_prepend('', w)[:-2]) as a, unnest(w) as b from texts),
 words as (select b, count(*) as c from tokens where not held_out group by b),
-arcs as (select a, b, count(*) as c from tokens where not held_out group by a, b having count(*) >= 2),
+arcs as (select a, b, count(*) as c from tokens where not held_out group by a, b),
 states as (
   select a, total, 1 - sum(arcs.c - 0.75) / total as f
   from arcs join (select a, count(*) as total from tokens where not held_out group by a) using (a) group by a, total),
