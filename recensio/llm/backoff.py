@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from recensio.llm import arrays as A
 from recensio.llm.chunks import CHUNK_BYTES, chunk_table, chunked, table_of
@@ -251,18 +252,19 @@ def score_texts(
 
     ``train`` says which rows the model learns from (null: not). Tokens are the
     lower-cased words and one end per text; null text is empty and has the end
-    only. Repeated rows count as often as they occur. Rows without id are
+    only. Ids may be of any type. Repeated rows count as often as they occur. Rows without id are
     scored like others. An empty table gives no rows; without training rows
     every word is unknown. Other columns are ignored. Words are told apart by
     64-bit hashes, bigrams by so many bits that fewer than one in 2^28 is
     taken for another.
     """
     rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
+        F.col(doc_id).alias("doc_id"),
         F.coalesce(train, F.lit(False)).alias("train"),
         F.col(text).cast("string").alias("text"),
     )
-    dealt, buckets = chunked(rows, "doc_id", "text")
+    # no rule ties rows of an id together, so one with very many rows is spread by their texts
+    dealt, buckets = chunked(rows, "doc_id", "text", spread=F.xxhash64("doc_id", "text"))
     width = min(8, ceil((log2(buckets * CHUNK_BYTES / 4) + 28 - log2(buckets)) / 8))
     docs_of = lambda: dealt.groupBy("chunk")
     to = lambda df: df.repartition(buckets, "to").groupBy("to")
@@ -271,7 +273,7 @@ def score_texts(
     replies = to(asked).applyInArrow(_count_words, REPLY).unionByName(arcs)
     kinds = [("n_tokens", "long"), ("n_known", "long"), ("train_tokens", "long"), ("base_score", "double"), ("score", "double")]
     fields = pa.schema(
-        [("doc_id", pa.int64()), ("train", pa.bool_())] + [(n, pa.int64() if t == "long" else pa.float64()) for n, t in kinds]
+        [("doc_id", to_arrow_type(rows.schema["doc_id"].dataType)), ("train", pa.bool_())] + [(n, pa.int64() if t == "long" else pa.float64()) for n, t in kinds]
     )
-    schema = "doc_id long, train boolean, " + ", ".join(f"{n} {t}" for n, t in kinds)
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, train boolean, " + ", ".join(f"{n} {t}" for n, t in kinds)
     return docs_of().cogroup(replies.groupBy("chunk")).applyInArrow(_score(buckets, discount, fields), schema)

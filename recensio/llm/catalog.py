@@ -254,9 +254,9 @@ def _raked_sql(rounds: int) -> str:
     for k in range(rounds):
         for margin in mixing.MARGINS:
             to = f"r{k + 1}" if margin == mixing.MARGINS[-1] else f"r{k}_{margin}"
-            chain.append(
-                f"{to} as (select * replace (weight * target_{margin} / sum(weight) over (partition by {margin}) as weight) from {at})"
-            )
+            by = f"target_{margin} / sum(weight) over (partition by {margin})"
+            off = f", {by} as by_{margin}" if k == rounds - 1 else ""
+            chain.append(f"{to} as (select * replace (weight * {by} as weight){off} from {at})")
             at = to
     return ",\n".join(chain)
 
@@ -281,14 +281,15 @@ share_{m} as (select {m}, p / (select sum(p) from own_{m}) as target_{m} from ow
 r0 as (select *, tokens::double as weight from cells join share_source using (source) join share_lang using (lang)
   join share_topic using (topic)),
 """
-    + _raked_sql(20)
+    + _raked_sql(mixing.ROUNDS)
     + """,
 ratios as (select source, lang, topic, weight * (select sum(tokens) from cells) / tokens as ratio from r20),
+fits as (select round(max(greatest(abs(by_source - 1), abs(by_lang - 1), abs(by_topic - 1))), 6) as fit from r20),
 chances as (select *, ratio / (select max(ratio) from ratios) as p from ratios)
 select doc_id, source, lang, topic, n_tokens, round(coalesce(case when n_tokens > 0 then ratio end, 0), 6) as ratio,
   round(coalesce(case when n_tokens > 0 then p end, 0), 6) as probability,
   ('0x' || substr(md5('mix:' || key), 1, 8))::bigint / 4294967296.0::double
-    < coalesce(case when n_tokens > 0 then p end, 0) as sampled
+    < coalesce(case when n_tokens > 0 then p end, 0) as sampled, (select fit from fits) as fit
 from rows_ left join chances using (source, lang, topic)
 """
 )
@@ -307,6 +308,7 @@ def op9(spark, sf_dir):
         F.round("ratio", 6).alias("ratio"),
         F.round("probability", 6).alias("probability"),
         "sampled",
+        F.round("fit", 6).alias("fit"),
     )
 
 

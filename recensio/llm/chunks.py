@@ -42,13 +42,14 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(chunks, pa.int32()), pa.array([b.to_pybytes() for b in blobs], pa.binary())], names=["chunk", "blob"])
 
 
-def chunked(rows: DataFrame, doc_id: str, text: str, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+def chunked(rows: DataFrame, doc_id: str, text: str, chunk_bytes: int = CHUNK_BYTES, spread: Column | None = None) -> tuple[DataFrame, int]:
     """``(chunk, blob)``, dealt by chunk, and the number of chunks; ``chunk_table`` reads the blobs.
 
-    Rows of one id share a chunk; rows without id are spread by their text.
+    Rows of one id share a chunk; rows without id are spread by their text. ``spread`` is another number to deal rows by.
     """
     chunks = max(1, ceil(text_size(rows, F.col(text)) / chunk_bytes))
-    spread = F.when(F.col(doc_id).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
+    if spread is None:
+        spread = F.when(F.col(doc_id).isNull(), F.xxhash64(text)).otherwise(F.xxhash64(doc_id))
     dealt = rows.withColumn("chunk", F.pmod(spread, F.lit(chunks)).cast("int"))
     return dealt.mapInArrow(_packed, "chunk int, blob binary").repartition(chunks, "chunk"), chunks
 

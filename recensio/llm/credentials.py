@@ -112,11 +112,13 @@ def _some_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", most: int = TRAIN_TEXTS) -> np.ndarray:
-    """Fit on words of at most ``most`` texts, those with the smallest hashes; what the fixed patterns match is left out."""
-    rows = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(doc_id, text).alias("h"), F.col(text).cast("string").alias("text"))
-    n = max(1, rows.count())
-    chance = (F.shiftright("h", 32) + F.lit(2**31)) / F.lit(2.0**32)
-    sample = rows.filter(chance < F.lit(min(1.0, most / n))).select("text")
+    """Fit on words of at most ``most`` different texts, those with the smallest hashes; what the fixed patterns match is left out.
+
+    A text counts once however many rows hold it, so ``most`` bounds what reaches the driver.
+    """
+    rows = docs.filter(F.col(text).isNotNull()).select(F.xxhash64(F.col(text).cast("string")).alias("h"), F.col(text).cast("string").alias("text"))
+    taken = rows.select("h").distinct().orderBy("h").limit(most)
+    sample = rows.join(F.broadcast(taken), "h").groupBy("h").agg(F.min("text").alias("text")).select("text")
     return train(sorted(r["word"] for r in sample.mapInArrow(_some_words, "word string").collect()))
 
 
@@ -202,17 +204,18 @@ def random_spans(
     return text, points[begins] - base, points[ends] - base
 
 
-SCANNED = "doc_id long, spans array<struct<kind:string,begin:int,end:int,base:boolean>>"
+SCANNED = "spans array<struct<kind:string,begin:int,end:int,base:boolean>>"
 
 
 def scan(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, spans)``, one row per row of ``docs``; ``base`` marks spans of the fixed patterns.
 
     Spans are in code points, by start, then in the order of ``KINDS``. Random
-    strings are sought in what the fixed spans leave of a text. Null text has none. An empty
+    strings are sought in what the fixed spans leave of a text. Null text has none. Ids may be of any type,
+    texts of any length (they are scanned piece by piece), and each repeated row has its own. An empty
     table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     span = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())])
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,4 +229,4 @@ def scan(docs: DataFrame, ratio: np.ndarray, doc_id: str = "doc_id", text: str =
                 out = [[{"kind": KINDS[k], "begin": b, "end": e, "base": k < 3} for b, k, e in sorted(f)] for f in found]
                 yield pa.record_batch([piece.column("doc_id"), pa.array(out, pa.list_(span))], names=["doc_id", "spans"])
 
-    return rows.mapInArrow(scanned, SCANNED)
+    return rows.mapInArrow(scanned, f"doc_id {dict(rows.dtypes)['doc_id']}, {SCANNED}")

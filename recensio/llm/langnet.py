@@ -12,10 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recensio.llm import arrays as A
+from recensio.llm.names import free_names
 
 WINDOW = 256
 #: Texts per language, and windows of each, that the network is fitted on, at most.
@@ -145,17 +146,17 @@ def _sampled(most: int):
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", most: int = TRAIN_TEXTS) -> Net | None:
     """Network for the languages in ``lang``; None if no row has a language and a text.
 
-    At most some ``most`` texts of each language are used, chosen by a hash of id and text.
+    At most ``most`` different texts of each language are used, those with the smallest hashes; a
+    text counts once however many rows hold it, so the bound holds for what reaches the driver.
     """
-    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(doc_id, text).alias("h"))
-    rows = rows.filter(F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one number a language
-    if not counts:
+    rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
+    rows = rows.filter(F.col("lang").isNotNull() & (F.octet_length("text") > 0)).withColumn("h", F.xxhash64("text"))
+    order = Window.partitionBy("lang").orderBy("h")
+    taken = rows.select("lang", "h").distinct().withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= most).drop("nth")
+    langs = sorted(r["lang"] for r in taken.select("lang").distinct().collect())
+    if not langs:
         return None
-    langs = sorted(counts)
-    share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, most / counts[k]))])
-    chance = (F.shiftright("h", 32) + F.lit(2**31)) / F.lit(2.0**32)
-    sample = rows.filter(chance < share[F.col("lang")]).select("lang", "text")
+    sample = rows.join(F.broadcast(taken), ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
     got = sorted((r["window"], r["lang"]) for r in sample.mapInArrow(_sampled(TRAIN_WINDOWS), "lang string, window binary").collect())
     windows = np.frombuffer(b"".join(bytes(w) for w, _ in got), np.uint8).reshape(-1, WINDOW)
     return train(windows, np.array([langs.index(x) for _, x in got]), langs)
@@ -166,19 +167,22 @@ def predict(docs: DataFrame, net: Net | None, text: str = "text") -> DataFrame:
 
     Null texts and texts without a letter are "und" with score 0, and so are all
     without a network. Windows of a text weigh by their bytes. An empty table
-    gives no rows. Other columns stay; ones with these names are replaced.
+    gives no rows, a repeated row one each, and texts may be of any length (they are read piece by piece).
+    Other columns stay; ones with these names are replaced.
     """
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-    kept = docs.drop("lang_pred", "lang_score", "_lettered").withColumn("_lettered", F.coalesce(F.col(text).cast("string").rlike("\\p{L}"), F.lit(False)))
-    names = [c for c in kept.columns if c != "_lettered"]
-    schema = StructType([*kept.drop("_lettered").schema, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
+    kept = docs.drop("lang_pred", "lang_score")
+    names = kept.columns
+    (mark,) = free_names(names, "_lettered")
+    kept = kept.withColumn(mark, F.coalesce(F.col(text).cast("string").rlike("\\p{L}"), F.lit(False)))
+    schema = StructType([*kept.drop(mark).schema, StructField("lang_pred", StringType()), StructField("lang_score", DoubleType())])
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in A.pieces(batch, text, 1 << 20):
                 n = piece.num_rows
-                lettered = piece.column("_lettered").to_numpy(zero_copy_only=False).astype(bool)
+                lettered = piece.column(mark).to_numpy(zero_copy_only=False).astype(bool)
                 name, score = np.full(n, "und", object), np.zeros(n)
                 if net is not None:
                     windows, owner, used = _windows(*A.text_bytes(piece.column(text)))

@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recensio.llm.names import free_names
+from recensio.operators.scale import hinted
 from recensio.session import materialize
 
 LENGTH = 10
 #: Windows of the benchmark up to this number are broadcast (12 bytes each).
 BROADCAST_WINDOWS = 1_000_000
-#: Suspect texts up to this number are looked up by broadcast (8 bytes each), and what
+#: Suspect texts up to this number are looked up by broadcast (16 bytes each), and what
 #: was found in them up to so many numbers; beyond, both are joined by key.
 BROADCAST_TEXTS = 2_000_000
 BROADCAST_FOUND = 8_000_000
@@ -68,12 +70,17 @@ def find_leaks(
     word inside any occurrence of a window is hit. Rows that share an id and
     text are judged alike; rows without id too. Items without id contaminate
     but are not listed. Empty tables give no hits, or no rows. All columns of
-    ``docs`` stay; names used inside begin with ``_leak``.
+    ``docs`` stay, but for ones with the names that are added, which are replaced. Texts
+    are told apart by two hashes, 128 bits together.
     """
+    docs = docs.drop(*[c for c in ("n_words", "hit_words", "hit_items") if c not in (doc_id, text)])
+    (key,) = free_names(docs.columns, "_leak_key")
     windows = materialize(item_windows(items, item_id, item_text, length))
     lengths = [r["n"] for r in windows.select("n").distinct().collect()]  # at most `length` numbers
-    keyed = docs.withColumn("_leak_key", F.xxhash64(F.col(doc_id).cast("string"), F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    words = keyed.select("_leak_key", plain_words(F.col(text)).alias("w"))
+    parts = [F.col(doc_id).cast("string"), F.coalesce(F.col(text).cast("string"), F.lit(""))]
+    keyed = docs.withColumn(key, F.struct(F.xxhash64(*parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b")))
+    own = F.col(key).alias("_leak_key")
+    words = keyed.select(own, plain_words(F.col(text)).alias("w"))
     hashes = windows.select("n", "hash").distinct()
     small = hashes.count() <= BROADCAST_WINDOWS
     found = None
@@ -90,27 +97,30 @@ def find_leaks(
     places = materialize(places)
     keys = places.select("_leak_key")
     suspects = (
-        keyed.join(F.broadcast(keys) if keys.count() <= BROADCAST_TEXTS else keys, "_leak_key", "left_semi")
+        keyed.select(own, F.col(text).alias("t"))
+        .join(F.broadcast(keys) if keys.count() <= BROADCAST_TEXTS else keys, "_leak_key", "left_semi")
         .dropDuplicates(["_leak_key"])
-        .select("_leak_key", plain_words(F.col(text)).alias("w"))
+        .select("_leak_key", plain_words(F.col("t")).alias("w"))
         .join(places, "_leak_key")
         .select("_leak_key", F.explode(F.transform("_leak_at", lambda a: F.struct(a["pos"].alias("pos"), a["n"].alias("n"), a["hash"].alias("hash"), F.slice("w", a["pos"] + 1, a["n"]).alias("words")))).alias("a"))
         .select("_leak_key", "a.*")
     )
     known = windows.select("hash", "n", "words", F.col("item_id").cast("string").alias("item"))
     known = known.groupBy("hash", "n", "words").agg(F.collect_set("item").alias("items"))
-    true = suspects.join(F.broadcast(known) if small else known, ["hash", "n", "words"])
+    # items of one window may be many, so their bytes are measured
+    true = suspects.join(hinted(known, BROADCAST_WINDOWS), ["hash", "n", "words"])
     verified = materialize(true.groupBy("_leak_key").agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.sequence(F.col("pos"), F.col("pos") + F.col("n") - 1))))).alias("hit_words"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("hit_items"),
     ))
     load = verified.agg(F.sum(F.size("hit_words") + F.size("hit_items") * 4 + 4)).first()[0] or 0
+    verified = verified.withColumnRenamed("_leak_key", key)
     if load <= BROADCAST_FOUND:
         verified = F.broadcast(verified)
     return (
         keyed.withColumn("n_words", F.size(plain_words(F.col(text))).cast("long"))
-        .join(verified, "_leak_key", "left")
-        .drop("_leak_key")
+        .join(verified, key, "left")
+        .drop(key)
         .withColumn("hit_words", F.coalesce("hit_words", F.array().cast("array<int>")))
         .withColumn("hit_items", F.coalesce("hit_items", F.array().cast("array<string>")))
     )

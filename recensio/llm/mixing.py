@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recensio.llm.names import free_names
 from recensio.session import materialize
 
 #: Cells up to this number are broadcast to the documents (below 100 bytes each).
 BROADCAST_CELLS = 200_000
 MARGINS = ("source", "lang", "topic")
+#: Rounds of raking at most.
+ROUNDS = 20
 
 
 def coarse_topic(text: Column) -> Column:
@@ -39,7 +42,7 @@ def tempered(cells: DataFrame, margin: str, temperature: float) -> DataFrame:
     return raised.join(F.broadcast(norm)).select(margin, (F.col("p") / F.col("z")).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 60, tolerance: float = 1e-10) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS, tolerance: float = 1e-10) -> DataFrame:
     """``cells(source, lang, topic, tokens)`` with ``weight``: shares whose margins equal the targets.
 
     ``targets[margin]`` is ``(margin, share)``. Each round scales the cells to
@@ -53,8 +56,9 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = 60, tole
         at = at.join(targets[margin].withColumnRenamed("share", f"_{margin}"), margin)
     for _ in range(rounds):
         for margin in MARGINS:
-            here = Window.partitionBy(margin)
-            at = at.withColumn(f"_by_{margin}", F.col(f"_{margin}") / F.sum("weight").over(here))
+            # summed before rows meet, so a margin's value with very many cells is no task's burden
+            sums = at.groupBy(margin).agg(F.sum("weight").alias("_sum"))
+            at = at.join(sums, margin).withColumn(f"_by_{margin}", F.col(f"_{margin}") / F.col("_sum")).drop("_sum")
             at = at.withColumn("weight", F.col("weight") * F.col(f"_by_{margin}"))
         at = materialize(at)
         off = [F.max(F.abs(F.col(f"_by_{m}") - 1)) for m in MARGINS]
@@ -74,7 +78,11 @@ def mix(
     targets: dict[str, DataFrame] | None = None,
     seed: str = "mix",
 ) -> DataFrame:
-    """``docs`` with ``mix_topic``, ``n_tokens``, ``ratio``, ``probability`` and ``sampled``.
+    """``docs`` with ``mix_topic``, ``n_tokens``, ``ratio``, ``probability``, ``sampled`` and ``fit``.
+
+    ``fit`` is how far the margins still were from the targets in the last round of raking, as a share; targets
+    that contradict each other (a language in one source only, say) leave a ``fit`` well above zero, and
+    then the last margin, topic, is met and the others are not.
 
     ``ratio`` is the raked share of a document's cell over its own share. Every
     document is drawn once or not at all, with ``probability`` = ratio over the
@@ -87,13 +95,14 @@ def mix(
     Columns of the same names as those added are replaced.
     """
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
-    added = ["mix_topic", "n_tokens", "ratio", "probability", "sampled"]
+    added = ["mix_topic", "n_tokens", "ratio", "probability", "sampled", "fit"]
+    at = dict(zip(MARGINS, free_names(docs.columns, *[f"_cell_{m}" for m in MARGINS]), strict=True))
     topic = coarse_topic(F.col(text)) if topic is None else topic
     rows = docs.withColumns(
-        {"_mix_source": named("source"), "_mix_lang": named("lang"), "_mix_topic": F.coalesce(topic.cast("string"), F.lit("(none)")), "n_tokens": token_count(F.col(text))}
+        {at["source"]: named("source"), at["lang"]: named("lang"), at["topic"]: F.coalesce(topic.cast("string"), F.lit("(none)")), "n_tokens": token_count(F.col(text))}
     )
     cells = materialize(
-        rows.groupBy(*[F.col(f"_mix_{m}").alias(m) for m in MARGINS]).agg(F.sum("n_tokens").alias("tokens"))
+        rows.groupBy(*[F.col(at[m]).alias(m) for m in MARGINS]).agg(F.sum("n_tokens").alias("tokens"))
     )
     targets = targets or {m: tempered(cells, m, temperature) for m in MARGINS}
     raked = rake(cells, targets)
@@ -101,18 +110,19 @@ def mix(
     ratios = raked.join(F.broadcast(total)).withColumn("ratio", F.col("weight") * F.col("n") / F.col("tokens"))
     top = ratios.agg(F.max("ratio").alias("top"))
     ratios = ratios.join(F.broadcast(top)).select(
-        *[F.col(m).alias(f"_mix_{m}") for m in MARGINS], "ratio", (F.col("ratio") / F.col("top")).alias("probability")
+        *[F.col(m).alias(at[m]) for m in MARGINS], "ratio", (F.col("ratio") / F.col("top")).alias("probability")
     )
+    fit = raked.agg(F.max("fit").alias("fit"))  # one row
     if cells.count() <= BROADCAST_CELLS:
         ratios = F.broadcast(ratios)
-    rows = rows.drop("ratio", "probability", "sampled", "mix_topic")
+    rows = rows.drop("ratio", "probability", "sampled", "mix_topic", "fit").join(F.broadcast(fit))
     key = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.col(text).cast("string"), F.lit("")))
     draw = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(2.0**32)
     return (
-        rows.join(ratios, [f"_mix_{m}" for m in MARGINS], "left")
+        rows.join(ratios, list(at.values()), "left")
         .withColumns(
             {
-                "mix_topic": F.col("_mix_topic"),
+                "mix_topic": F.col(at["topic"]),
                 "ratio": F.when(F.col("n_tokens") > 0, F.coalesce("ratio", F.lit(0.0))).otherwise(0.0),
                 "probability": F.when(F.col("n_tokens") > 0, F.coalesce("probability", F.lit(0.0))).otherwise(0.0),
             }

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from recensio.llm import arrays as A
 from recensio.llm.chunks import chunk_table, chunked, table_of
+from recensio.llm.names import on_numbers
 
 LENGTH = 13
 SEED = 5
@@ -217,12 +218,15 @@ def remove_repeats(
     the kept words joined by one space. Words are runs of bytes other than
     white space; null text has none. A word goes if a window of ``length``
     words of its document covers it and a document with a smaller id holds the
-    same window. Rows that share an id are one document, and none is earlier
+    same window (ids may be of any type that sorts). Rows that share an id are one document, and none is earlier
     than another: all keep the same. Rows without id are left whole and make
     no other row lose words. Windows are compared by 64-bit hashes. An empty
     table gives no rows. Other columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return on_numbers(docs, doc_id, text, lambda rows: _without_repeats(rows, length, seed))
+
+
+def _without_repeats(rows: DataFrame, length: int, seed: int) -> DataFrame:
     dealt, buckets = chunked(rows, "doc_id", "text")
     groups = lambda: dealt.groupBy("chunk")
     to = lambda df: df.repartition(buckets, "to").groupBy("to")

@@ -41,10 +41,7 @@ _seeds = A.mix(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
 _XOR = (_seeds[: BANDS * ROWS] >> np.uint64(32)).astype(np.uint32)
 _TIMES = (_seeds[BANDS * ROWS :] >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
 
-SIGNED = "doc_id long, text_hash long, class long, shingles int, signature binary"
-_SIGNED = pa.schema(
-    [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("class", pa.int64()), ("shingles", pa.int32()), ("signature", pa.binary())]
-)
+SIGNED = "text_hash long, class long, shingles int, signature binary"
 
 
 def least_matches(threshold: float, tolerance: float, step: int = STEP, values: int = BANDS * ROWS) -> list[int]:
@@ -99,7 +96,7 @@ def _sign(words: int):
                         pa.array([len(s) for s in sets], pa.int32()),
                         pa.array([next(signed).tobytes() if x else None for x in has], pa.binary()),
                     ],
-                    schema=_SIGNED,
+                    names=["doc_id", "text_hash", "class", "shingles", "signature"],
                 )
 
     return sign
@@ -257,7 +254,7 @@ def similarity_classes(
 
     Two texts are linked if the Jaccard similarity of their sets of
     ``words``-word shingles is at least ``threshold``; words are lower-cased
-    runs of letters, digits and non-ASCII characters, a shorter text is one
+    runs of letters, digits and non-ASCII characters, ids of any type that sorts; a shorter text is one
     shingle. ``n_links`` counts the linked rows, copies and repeated rows
     included; ``class_id`` is the smallest id among all rows that links connect
     (null if none of them has one), ``group`` a number of the class that is never null. Null texts and texts without words have no
@@ -266,9 +263,10 @@ def similarity_classes(
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    signed = materialize(rows.select("doc_id", "text_hash", "text").mapInArrow(_sign(words), SIGNED))
+    kind = dict(rows.dtypes)["doc_id"]
+    signed = materialize(rows.select("doc_id", "text_hash", "text").mapInArrow(_sign(words), f"doc_id {kind}, {SIGNED}"))
     full = signed.filter(F.col("class").isNotNull())
     classes = materialize(
         full.groupBy("class").agg(
@@ -344,7 +342,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **s
         names.append(name)
     own_id, own_text = names
     keepers = first.select(F.col("k.doc_id").alias("_keep_id"), F.col("k.text_hash").alias("_keep_text"))
-    keys = [F.col(doc_id).cast("long").alias(own_id), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias(own_text)]
+    keys = [F.col(doc_id).alias(own_id), F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias(own_text)]
     keyed = docs.select("*", *keys)
     same = keyed[own_id].eqNullSafe(keepers["_keep_id"]) & (keyed[own_text] == keepers["_keep_text"])
     kept = keyed.join(keepers, same, "left_semi")

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from recensio.llm.names import on_numbers
+
 WORDS = 5
 #: One hash of so many is kept.
 SCALE = 8
@@ -100,14 +102,17 @@ def with_next(rows: DataFrame, order: str, tie: str, columns: list[str]) -> Data
 def edited_likeness(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, scale: int = SCALE) -> DataFrame:
     """``(doc_id, text, edited, sketch, edited_sketch, next_sketch)``, one row per row of ``docs``.
 
-    The edited text's last floor(n/2) code points are replaced by the first as
+    Ids may be of any type that sorts. The edited text's last floor(n/2) code points are replaced by the first as
     many, or all, of the next text by descending id. Null text is empty.
     Rows of one id follow each other by a hash of their text, rows without id
     come last; of equal rows each has a like row next to it. A single row is
     its own next. An empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("_tie", F.xxhash64("text"))
+    return on_numbers(docs, doc_id, text, lambda rows: _edited(rows, words, scale))
+
+
+def _edited(rows: DataFrame, words: int, scale: int) -> DataFrame:
+    rows = rows.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("_tie", F.xxhash64("text"))
     paired = with_next(rows, "doc_id", "_tie", ["text"])
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
