@@ -6,43 +6,65 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recensio.llm import leaks, mixing, quality, shards, similar_sets
+from recensio.llm.names import on_apart
 from recensio.llm.ship import ship
 from recensio.session import materialize
 
 
+#: The columns of documents that operators read or may add to; all others are set apart.
+USED = ["doc_id", "text", "lang", "source"]
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones, does not reject.
 
     Documents whose id's crc32 leaves remainder 2 after division by 4 are held out
     of the fit. Without labels all documents are scored alike, by a chance of one half,
-    so none stays.
+    so none stays. A null text is scored as an empty one; repeated rows and equal texts get one
+    score, so they stay or go together. An empty table gives no rows; all columns keep their values.
     """
     ship(spark)
     seen = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
     forest = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").filter(seen))
-    scored = quality.score(docs, forest, name="_quality")
-    return scored.filter(F.col("_quality") >= quality.KEEP).select(*docs.columns)
+    return on_apart(docs, USED, lambda d: quality.score(d, forest, name="score").filter(F.col("score") >= quality.KEEP))
 
 
 def different_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id from each group that similar shingle sets connect."""
+    """The document of the smallest id from each group that similar shingle sets connect.
+
+    Texts without words (null, empty) are similar to none and all stay; rows without id come after
+    those that have one, ties are settled by a hash of the text, and repeated rows stay
+    once. An empty table gives no rows; all columns keep their values.
+    """
     ship(spark)
     return similar_sets.one_of_each(docs)
 
 
 def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a window of any benchmark item."""
-    found = leaks.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return found.filter(F.size("hit_words") == 0).select(*docs.columns)
+    """Documents without a window of any benchmark item.
+
+    Null and empty texts have no window and stay; repeated rows stay or go together. Without items all
+    stay; an empty table gives no rows; all columns keep their values.
+    """
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return on_apart(docs, USED, lambda d: leaks.find_leaks(d, items).filter(F.size("hit_words") == 0))
 
 
 def mixed_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that tokens meet the target shares of sources, languages and topics."""
-    return mixing.mix(docs).filter("sampled").select(*docs.columns)
+    """Documents drawn so that tokens meet the target shares of sources, languages and topics.
+
+    Null sources and languages are a value of their own; texts without tokens (null, empty) are never
+    drawn; rows that share an id share the draw. An empty table gives no rows; all columns keep their values.
+    """
+    return on_apart(docs, USED, lambda d: mixing.mix(d).filter("sampled"))
 
 
 def sharded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and place of every document; documents with a line or a longer passage in common are linked."""
+    """Shard and place of every document; documents with a line or a longer passage in common are linked.
+
+    Each row is placed once, repeated ones and those without id or text too (a null text has size 1);
+    ties are settled by hashes. An empty table gives no rows; columns but ``doc_id`` and ``text`` are ignored.
+    """
     ship(spark)
     return shards.shard_documents(shards.shared_keys(docs.select("doc_id", "text")), links=F.col("links"))
 
