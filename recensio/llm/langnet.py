@@ -163,7 +163,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "
 
 
 def predict(docs: DataFrame, net: Net | None, text: str = "text") -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score``, the chance of that language to six digits.
+    """``docs`` with ``lang_pred`` and ``lang_score``, the chance of that language to four digits (the sixth depends on which texts share a batch).
 
     Null texts and texts without a letter are "und" with score 0, and so are all
     without a network. Windows of a text weigh by their bytes. An empty table
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, net: Net | None, text: str = "text") -> DataFrame:
                     p /= p.sum(axis=1, keepdims=True)
                     name = np.where(lettered, np.array(net.langs, object)[p.argmax(axis=1)], "und")
                     score = np.where(lettered, p.max(axis=1), 0.0)
-                columns = [piece.column(c) for c in names] + [pa.array(name, pa.string()), pa.array(np.round(score, 6))]
+                columns = [piece.column(c) for c in names] + [pa.array(name, pa.string()), pa.array(np.round(score, 4))]
                 yield pa.record_batch(columns, names=[*names, "lang_pred", "lang_score"])
 
     return kept.mapInArrow(predicted, schema)
