@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import CountVectorizerModel, StringIndexer, VectorAssembler
@@ -26,6 +26,10 @@ class FeatureNames:
     def __len__(self) -> int:
         return self.size
 
+    def __iter__(self) -> Iterator[str]:
+        """Names in the order of the columns, fetched part by part."""
+        return (row["feature"] for row in self.table.orderBy("place").toLocalIterator())
+
 
 def _categories(df: DataFrame, columns: Sequence[str]) -> Column:
     """Column and value of every category of a row; a list counts each of its labels."""
