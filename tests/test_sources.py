@@ -119,3 +119,71 @@ def test_release_deletes_what_was_written(spark):
     kept = materialize(spark.range(10))
     folder = Path(kept.inputFiles()[0].removeprefix("file:")).parent
     assert folder.exists() and release(spark) >= 1 and not folder.exists()
+
+
+CSV = 'id,t,x\n1,"a\n\nb, ""q""",2\n2,plain,3\nbad\n3,"z\r\nw",oops\n\n4,e,5,6\n5,"long\nlong\nlong\nlong\nlong\nlong\nlong\nlong",7\n6,"",8\n7,last,9'
+
+
+@pytest.mark.parametrize("size", [4, 16, 40, 1 << 20])
+def test_quoted_csv_is_split_as_it_is_read_whole(spark, tmp_path, size):
+    from pyspark.sql import types as T
+
+    (tmp_path / "a.csv").write_text(CSV, newline="")
+    (tmp_path / "b.csv").write_text(CSV.replace("plain", '"x,""y"""'), newline="")
+    (tmp_path / "c.csv").write_text("id,t,x\n")
+    (tmp_path / "d.csv").write_text("")
+    schema = T.StructType.fromDDL("id long, t string, x int")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    try:
+        got = {
+            how: sorted(map(str, readers.load_table(spark, str(tmp_path), schema, "csv", multi_line=how, rejected="bad").collect()))
+            for how in (True, "split")
+        }
+        (tmp_path / "w").mkdir()
+        (tmp_path / "w" / "a.csv").write_text('id,t,x\r\n1,"a\r\nb",2\r\n\r\n2,c,3\r\n', newline="")
+        other = readers.load_table(spark, str(tmp_path / "w"), schema, "csv", multi_line="split")
+        assert sorted(map(tuple, other.collect())) == [(1, "a\r\nb", 2), (2, "c", 3)]
+        whole = readers.load_table(spark, str(tmp_path), schema, "csv", multi_line="split", malformed="drop")
+        assert sorted(r["id"] for r in whole.collect()) == [1, 1, 2, 2, 5, 5, 6, 6, 7, 7]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got["split"] == got[True] and len(got["split"]) == 16
+
+
+def test_open_quote_and_foreign_escape(spark, tmp_path):
+    from recensio.sources.records import quoted_records
+
+    (tmp_path / "a.csv").write_text('h\n"never\n' + "closed line\n" * 50)
+    with pytest.raises(ValueError):
+        readers.load_table(spark, str(tmp_path), format="csv", multi_line="split", escape="\\")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32")
+    try:
+        assert quoted_records(spark, str(tmp_path)).count() == 1
+        with pytest.raises(Exception, match="not closed"):
+            quoted_records(spark, str(tmp_path), longest=100).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_rejected_rows_are_counted(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    schema = T.StructType.fromDDL("id long, t string, x int, _record string")
+    (tmp_path / "a.csv").write_text("id,t,x,_record\n1,a,2,r\nbad\n3,c,no,r\n")
+    (tmp_path / "a.json").write_text('{"id":1,"t":"a","x":2}\n{"id":\n')
+    for name, read, rejected in (("a.csv", 3, ["3,c,no,r", "bad"]), ("a.json", 2, ['{"id":'])):
+        metrics = str(tmp_path / f"m-{name}")
+        kept, bad = readers.checked_table(spark, str(tmp_path / name), "run", metrics, schema)
+        assert kept.schema == schema and kept.count() == 1
+        assert sorted(r["record"] for r in bad.collect()) == rejected
+        logged = {r["metric"]: r["value"] for r in spark.read.parquet(metrics).collect()}
+        assert logged == {"rows_read": read, "rows_rejected": len(rejected)}
+    with pytest.raises(ValueError):
+        readers.load_table(spark, str(tmp_path / "a.csv"), schema, rejected="_RECORD")
+    spark.range(2).write.parquet(str(tmp_path / "p"))
+    kept, bad = readers.checked_table(
+        spark, str(tmp_path / "p"), "run", str(tmp_path / "mp"), T.StructType.fromDDL("id long"), format="parquet"
+    )
+    assert (kept.count(), bad.count()) == (2, 0)
