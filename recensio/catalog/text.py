@@ -69,6 +69,36 @@ query("t01a_emoji_alias", f"{WITH_NOISY} select review_id, {alias_sql('review')}
     one(emoji_to_alias, "text")
 )
 
+# sequences and the name that each has as a whole
+SEQUENCE_NAMES = [
+    ("\U0001f3f4" + "".join(chr(0xE0000 + ord(c)) for c in "gbeng") + "\U000e007f", "England"),
+    ("\U0001f3f4" + "".join(chr(0xE0000 + ord(c)) for c in "gbwls") + "\U000e007f", "Wales"),
+    ("👨\u200d👩\u200d👧\u200d👦", "family_man_woman_girl_boy"),
+    ("👩\u200d❤\ufe0f\u200d👨", "couple_with_heart_woman_man"),
+    ("👩🏽\u200d💻", "woman_technologist_medium_skin_tone"),
+    ("🧑\u200d🚒", "firefighter"),
+    ("🤦🏻\u200d♂\ufe0f", "man_facepalming_light_skin_tone"),
+    ("❤\ufe0f\u200d🔥", "heart_on_fire"),
+    ("🏳\ufe0f\u200d🌈", "rainbow_flag"),
+]
+
+
+def sequence_cases(position: int) -> str:
+    whens = " ".join(f"when {k} then '{pair[position]}'" for k, pair in enumerate(SEQUENCE_NAMES))
+    return f"case review_id % {len(SEQUENCE_NAMES)} {whens} end"
+
+
+@query(
+    "t01a2_emoji_sequences",
+    f"""{WITH_NOISY} select review_id, concat(' :', {sequence_cases(1)}, ': ', {alias_sql('review')},
+    ' :', {sequence_cases(1)}, ':  :thumbs_up: ') as text from noisy where review is not null""",
+)
+def t01a2(spark, sf_dir):
+    df = noisy(spark, sf_dir).filter("review is not null")
+    text = F.concat(F.expr(sequence_cases(0)), "review", F.expr(sequence_cases(0)), F.lit("👍"))
+    return df.select("review_id", emoji_to_alias(text).alias("text"))
+
+
 query("t01b_squeeze_space", f"{WITH_NOISY} select review_id, {space_sql('review')} as text from noisy")(
     one(fn.squeeze_space, "text")
 )

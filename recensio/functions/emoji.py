@@ -75,6 +75,39 @@ SKIN_TONES = {
     "🏿": "dark_skin_tone",
 }
 
+# Names of sequences (fixed values): whole ones, by the object that a person
+# holds, and by the act that a gender sign follows.
+SEQUENCES = {
+    "🏳‍🌈": "rainbow_flag", "🏳‍⚧": "transgender_flag", "🏴‍☠": "pirate_flag",
+    "❤‍🔥": "heart_on_fire", "❤‍🩹": "mending_heart", "👁‍🗨": "eye_in_speech_bubble",
+    "😮‍💨": "face_exhaling", "😵‍💫": "face_with_spiral_eyes", "😶‍🌫": "face_in_clouds",
+    "🐕‍🦺": "service_dog", "🐈‍⬛": "black_cat", "🐦‍⬛": "black_bird", "🐻‍❄": "polar_bear",
+    "🧑‍🎄": "Mx_Claus", "🧑‍🤝‍🧑": "people_holding_hands", "👩‍🤝‍👩": "women_holding_hands",
+    "👨‍🤝‍👨": "men_holding_hands", "👩‍🤝‍👨": "woman_and_man_holding_hands",
+}
+PEOPLE = {"👨": "man", "👩": "woman", "🧑": "person", "👦": "boy", "👧": "girl"}
+ROLES = {
+    "⚕": "health_worker", "⚖": "judge", "✈": "pilot", "🌾": "farmer", "🍳": "cook", "🎓": "student",
+    "🎤": "singer", "🎨": "artist", "🏫": "teacher", "🏭": "factory_worker", "💻": "technologist",
+    "💼": "office_worker", "🔧": "mechanic", "🔬": "scientist", "🚀": "astronaut", "🚒": "firefighter",
+}
+HELD = {
+    "🦯": "with_white_cane", "🦼": "in_motorized_wheelchair", "🦽": "in_manual_wheelchair",
+    "🍼": "feeding_baby",
+}
+HAIR = {"🦰": "red_hair", "🦱": "curly_hair", "🦲": "bald", "🦳": "white_hair"}
+ACTS = {
+    "🏃": "running", "🚶": "walking", "🤷": "shrugging", "🤦": "facepalming", "🙋": "raising_hand",
+    "🙅": "gesturing_NO", "🙆": "gesturing_OK", "💁": "tipping_hand", "🙇": "bowing", "🙍": "frowning",
+    "🙎": "pouting", "💆": "getting_massage", "💇": "getting_haircut", "🏊": "swimming", "🏄": "surfing",
+    "🚣": "rowing_boat", "🚴": "biking", "🚵": "mountain_biking", "🤸": "cartwheeling", "🤹": "juggling",
+    "🤽": "playing_water_polo", "🤾": "playing_handball", "🧍": "standing", "🧎": "kneeling",
+    "🧖": "in_steamy_room", "🧗": "climbing", "🧘": "in_lotus_position", "🏋": "lifting_weights",
+    "🏌": "golfing", "⛹": "bouncing_ball",
+}
+TAGGED = {"gbeng": "England", "gbsct": "Scotland", "gbwls": "Wales"}
+
+_TAG = r"\x{1F3F4}[\x{E0030}-\x{E007A}]+\x{E007F}"
 _FLAG = r"[\x{1F1E6}-\x{1F1FF}]{2}"
 _KEYCAP = r"[0-9#*]\x{FE0F}?\x{20E3}"
 _SKIN = r"[\x{1F3FB}-\x{1F3FF}]"
@@ -91,7 +124,7 @@ def _bounds() -> list[tuple[int, int]]:
 def _pattern() -> str:
     base = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in _bounds()) + "]"
     one = rf"{base}\x{{FE0F}}?{_SKIN}?"
-    return rf"(?:{_FLAG}|{_KEYCAP}|{one}(?:\x{{200D}}{one})*)"
+    return rf"(?:{_TAG}|{_FLAG}|{_KEYCAP}|{one}(?:\x{{200D}}{one})*)"
 
 
 #: The look-ahead turns letters away before the long character class is tried.
@@ -113,8 +146,34 @@ def alias_table() -> dict[str, str]:
     return {**table, **SKIN_TONES, **COMMON_ALIASES}
 
 
+def sequence_table() -> dict[str, str]:
+    """Name of every known sequence, without variation selectors and skin tones."""
+    join = "\u200d"
+    table = dict(SEQUENCES)
+    adults = {c: n for c, n in PEOPLE.items() if n in ("man", "woman", "person")}
+    for sign, who in adults.items():
+        for thing, role in ROLES.items():
+            table[sign + join + thing] = role if who == "person" else f"{who}_{role}"
+        for thing, what in HELD.items():
+            table[sign + join + thing] = f"{who}_{what}"
+        for thing, hair in HAIR.items():
+            table[sign + join + thing] = f"{who}_{hair}"
+    for act, name in ACTS.items():
+        table[act + join + "♀"] = f"woman_{name}"
+        table[act + join + "♂"] = f"man_{name}"
+    for a, one in adults.items():
+        for b, other in adults.items():
+            table[join.join((a, "❤", b))] = f"couple_with_heart_{one}_{other}"
+            table[join.join((a, "❤", "💋", b))] = f"kiss_{one}_{other}"
+    return table
+
+
+def _map(table: dict[str, str]) -> Column:
+    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "map<string,string>")
+
+
 def _aliases() -> Column:
-    return F.from_json(F.lit(json.dumps(alias_table(), ensure_ascii=False)), "map<string,string>")
+    return _map(alias_table())
 
 
 @lru_cache(maxsize=1)
@@ -125,14 +184,36 @@ def region_names() -> dict[str, str]:
     return {code.lower(): name.replace(" ", "_") for code, name in names.items()}
 
 
+_PEOPLE = "[" + "".join(PEOPLE) + "]"
+
+
+def _sequence(emoji: Column, names: Column) -> Column:
+    """Name of a joined sequence or tagged flag, null if it has none of its own.
+
+    The distinct skin tones follow the name. People joined to people, with
+    nothing else between them, are a family.
+    """
+    plain = F.regexp_replace(emoji, rf"\x{{FE0F}}|{_SKIN}", "")
+    tones = F.array_distinct(F.regexp_extract_all(emoji, F.lit(_SKIN), F.lit(0)))
+    skin = _map(SKIN_TONES)
+    toned = F.array_join(F.transform(tones, lambda t: F.concat(F.lit("_"), skin[t])), "")
+    family = plain.rlike(rf"^{_PEOPLE}(?:\x{{200D}}{_PEOPLE})+$")
+    joined = F.coalesce(_map(sequence_table())[plain], F.when(family, F.concat(F.lit("family_"), names)))
+    code = F.regexp_extract_all(emoji, F.lit(r"[\x{E0030}-\x{E007A}]"), F.lit(0))
+    letters = _map({chr(0xE0000 + ord(c)): c for c in "0123456789abcdefghijklmnopqrstuvwxyz"})
+    code = F.array_join(F.transform(code, lambda t: letters[t]), "")
+    tagged = F.coalesce(_map(TAGGED)[code], F.concat(F.lit("flag_"), code))
+    return F.when(emoji.rlike(_TAG), tagged).when(emoji.contains("\u200d"), F.concat(joined, toned))
+
+
 def _alias(emoji: Column, aliases: Column) -> Column:
-    """``:name:`` of one match; parts of a sequence are joined by ``_``."""
+    """``:name:`` of one match; parts of a sequence without a name of its own are joined by ``_``."""
     parts = F.regexp_extract_all(emoji, F.lit(r"[^\x{FE0F}\x{200D}\x{20E3}]"), F.lit(0))
     names = F.array_join(F.transform(parts, lambda p: F.coalesce(aliases[p], p)), "_")
     code = F.replace(names, F.lit("_"), F.lit(""))
-    regions = F.from_json(F.lit(json.dumps(region_names(), ensure_ascii=False)), "map<string,string>")
+    regions = _map(region_names())
     flag = F.when(emoji.rlike(_FLAG), F.coalesce(regions[code], F.concat(F.lit("flag_"), code)))
-    return F.concat(F.lit(":"), F.coalesce(flag, names), F.lit(":"))
+    return F.concat(F.lit(":"), F.coalesce(flag, _sequence(emoji, names), names), F.lit(":"))
 
 
 def emoji_to_alias(text: Column) -> Column:

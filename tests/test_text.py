@@ -46,6 +46,30 @@ def test_aliases(one):
     assert one(emoji.emoji_count, "👨‍👩‍👧 e 🚀") == 2
 
 
+@pytest.mark.parametrize(
+    "text, name",
+    [
+        ("\U0001f3f4" + "".join(chr(0xE0000 + ord(c)) for c in "gbeng") + "\U000e007f", "England"),
+        ("\U0001f3f4" + "".join(chr(0xE0000 + ord(c)) for c in "ustx") + "\U000e007f", "flag_ustx"),
+        ("👨\u200d👩\u200d👧", "family_man_woman_girl"),
+        ("👩\u200d👦\u200d👦", "family_woman_boy_boy"),
+        ("👩\u200d❤\ufe0f\u200d👨", "couple_with_heart_woman_man"),
+        ("👩\u200d❤\u200d💋\u200d👩", "kiss_woman_woman"),
+        ("👩🏽\u200d💻", "woman_technologist_medium_skin_tone"),
+        ("🧑\u200d🚒", "firefighter"),
+        ("🤷🏿\u200d♀\ufe0f", "woman_shrugging_dark_skin_tone"),
+        ("🧑🏻\u200d🤝\u200d🧑🏿", "people_holding_hands_light_skin_tone_dark_skin_tone"),
+        ("❤\ufe0f\u200d🔥", "heart_on_fire"),
+        ("🏳\ufe0f\u200d🌈", "rainbow_flag"),
+        ("🔥\u200d🚀", "fire_rocket"),
+        ("🏴", "waving_black_flag"),
+    ],
+)
+def test_sequences_have_one_name(one, text, name):
+    assert one(emoji.emoji_to_alias, f"a{text}b") == f"a :{name}: b"
+    assert one(emoji.emoji_count, f"a{text}b{text}") == 2
+
+
 def test_entropy_and_uppercase_words(one):
     assert one(fx.token_entropy, "a a a a") == 0.0
     assert one(fx.token_entropy, "a b c d") == 2.0
