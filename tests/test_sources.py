@@ -187,3 +187,45 @@ def test_rejected_rows_are_counted(spark, tmp_path):
         spark, str(tmp_path / "p"), "run", str(tmp_path / "mp"), T.StructType.fromDDL("id long"), format="parquet"
     )
     assert (kept.count(), bad.count()) == (2, 0)
+
+
+def test_flow_from_files_begins_at_the_load(spark, tmp_path):
+    from recensio.plans import flows
+
+    (tmp_path / "r.csv").write_text(
+        'review_id,review,rating,sentiment,labels,review_date\n1,"bad\nlogin",1,negative,"[\'a\']",2024-01-02\ncut\n2,ok,5,positive,[],2024-01-03\n'
+    )
+    (tmp_path / "t.csv").write_text("old_label_name,label,parent_label\nx,y,z\n")
+    seen = {}
+
+    def flow(df, model, translations, taxonomy, folder, run_name, **options):
+        seen.update(rows=sorted(r["review"] for r in df.collect()), labels=taxonomy.first()["label"], options=options)
+        return {"rows": df}
+
+    folder = str(tmp_path / "out")
+    paths = (str(tmp_path / "r.csv"), str(tmp_path / "t.csv"))
+    out = flows.flow_from_files(spark, *paths, flow, None, None, folder, load={"multi_line": "split"}, home="it")
+    assert out["rows"].count() == 2 and seen == {"rows": ["bad\nlogin", "ok"], "labels": "y", "options": {"home": "it"}}
+    assert [r["record"] for r in spark.read.parquet(f"{folder}/rejected").collect()] == ["cut"]
+    logged = {r["metric"]: r["value"] for r in spark.read.parquet(f"{folder}/metrics").collect()}
+    assert logged == {"rows_read": 3, "rows_rejected": 1}
+    with pytest.raises(ValueError):
+        flows.flow_from_files(spark, str(tmp_path / "none.csv"), paths[1], flow, None, None, folder)
+
+
+def test_topic_report_as_csv(spark, tmp_path):
+    from recensio.plans import flows
+
+    info = spark.createDataFrame([(0, 2, "0_a_b"), (-1, 1, '-1_"x",y')], "topic int, count long, name string")
+    out = {
+        "rows": spark.createDataFrame([(1, 0), (2, 0), (3, -1)], "review_id long, topic int"),
+        "doc_topics": spark.createDataFrame([(1, 0)], "review_id long, topic int"),
+        "topic_words": spark.createDataFrame([(0, "a", 0.5)], "topic int, word string, weight double"),
+        "topic_info": info,
+        "topic_vectors": spark.createDataFrame([(0, [0.1])], "topic int, vector array<double>"),
+        "metrics": spark.createDataFrame([(1, 3)], "n_topics int, n_docs int"),
+        "silhouette": spark.createDataFrame([(0.5,)], "silhouette double"),
+    }
+    flows.write_topics(out, str(tmp_path), "run", "csv")
+    report = spark.read.schema(info.schema).csv(f"{tmp_path}/topics", header=True, escape='"')
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, info.collect()))
