@@ -74,3 +74,32 @@ def test_components(spark):
     found = {r["node"]: r["component"] for r in got.collect()}
     assert all(found[i] == 0 for i in range(61))
     assert found[100] == found[101] == found[102] == 100 and found[200] == 200
+
+
+def test_seldom_terms_come_back_to_their_texts(spark, monkeypatch):
+    """A vocabulary that is too large to be broadcast whole: same weights, also for repeated and missing ids."""
+    from recensio.operators import rarity, scale, weights
+
+    rows = [(i % 17 if i % 9 else None, " ".join(f"w{j}" for j in range(40) if (i * j) % (j + 2) < 2)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, text string")
+
+    def shown():
+        found = weights.term_weights(df, "id", "text").collect()
+        ratios = rarity.rare_token_ratio(df, "id", "text", quantile=0.5).collect()
+        return (
+            sorted((r["id"] is None, r["id"] or 0, r["term"], r["df"], r["tf"], round(r["weight"], 9), round(r["before"], 9)) for r in found),
+            sorted((r[0] is None, r[0] or 0, r[1] is None, r[1] or 0.0) for r in ratios),
+        )
+
+    want, parts = shown(), []
+
+    def few(dim, count):
+        frequent, others = scale.frequent_part(dim, count, rows=8)
+        parts.append((frequent.count(), others.count()))
+        return frequent, others
+
+    for module in (weights, rarity):
+        monkeypatch.setattr(module, "fits_broadcast", lambda *a: False)
+        monkeypatch.setattr(module, "frequent_part", few)
+    assert shown() == want
+    assert len(parts) == 2 and all(0 < a <= 8 and b > 0 for a, b in parts)
