@@ -165,3 +165,27 @@ def test_keys_of_common_terms_grow_longer(spark, monkeypatch):
 
     few, many = compared(150, 10), compared(600, 10)
     assert many < 10 * few
+
+
+def test_few_candidates_of_long_texts(spark):
+    """Long unrelated texts share single rare terms all the time; hardly any such pair is a candidate."""
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"t{j}" for j in rng.choice(600, 60, replace=False))) for i in range(120)]
+    rows += [(500 + i, rows[i][1].replace(rows[i][1].split()[0], "new")) for i in range(10)]
+    packed = similar.placed_weights(spark.createDataFrame(rows, "id long, text string"), "id", "text")
+    packed = packed.groupBy("id").agg(F.collect_list(F.struct("term", "df", "weight", "before")).alias("terms"))
+    found = [(r["id1"], r["id2"]) for r in similar._candidates(packed, 0.9, 4_000).collect()]
+    assert {(i, 500 + i) for i in range(10)} <= set(found)
+    assert len(found) == len(set(found)) < 100
+
+
+def test_vector_blocks_meet_once(spark):
+    """Pairs without a tree: nothing of the vectors is held by the driver."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(700, 8))
+    x[350:] = x[:350] + 0.05 * rng.normal(size=(350, 8))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    want = {(i, j) for i, j in zip(*np.nonzero(unit @ unit.T >= 0.9)) if i < j}
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    got = [(r["id1"], r["id2"]) for r in vectors.similar_vectors(df, "id", "v", 0.9, most=200)[0].collect()]
+    assert len(got) == len(set(got)) and set(got) == want
