@@ -229,3 +229,20 @@ def test_topic_report_as_csv(spark, tmp_path):
     flows.write_topics(out, str(tmp_path), "run", "csv")
     report = spark.read.schema(info.schema).csv(f"{tmp_path}/topics", header=True, escape='"')
     assert sorted(map(tuple, report.collect())) == sorted(map(tuple, info.collect()))
+
+
+def test_lines_of_quoted_csv_stay_in_their_task(spark, tmp_path):
+    """Only what is cut by a split moves: far fewer pieces than lines."""
+    from recensio.sources import records
+
+    text = "".join(f'{i},"' + "word\n" * 50 + '"\n' for i in range(400))
+    (tmp_path / "a.csv").write_text("id,text\n" + text)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        found = records.quoted_records(spark, str(tmp_path))
+        assert sorted(r["record"] for r in found.collect()) == sorted(f'{i},"' + "word\n" * 50 + '"' for i in range(400))
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
