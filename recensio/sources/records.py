@@ -126,6 +126,7 @@ def quoted_records(spark: SparkSession, path: str, quote: str = '"', header: boo
     pieces = lines.join(F.broadcast(materialize(splits)), ["file", "start"]).mapInArrow(
         _pieces(quote), "file string, start long, home long, head boolean, whole boolean, top boolean, text string"
     )
+    pieces = materialize(pieces)  # read twice
     open_quote = F.raise_error(F.concat(F.lit("a quote is not closed before byte "), F.col("start").cast("string"), F.lit(" of "), "file"))
     owner = F.when(F.col("start") - F.col("home") > longest, open_quote.cast("long")).otherwise(F.col("home"))
     parted = pieces.filter(~F.col("whole")).groupBy("file", F.when(F.col("head"), owner).otherwise(F.col("start")).alias("owner"))
