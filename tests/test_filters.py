@@ -36,3 +36,16 @@ def test_sample_is_repeatable_and_bounded(spark):
 def test_foreign_rows(spark):
     df = spark.createDataFrame([("it",), ("en",), (None,), ("unknown",)], "language string")
     assert [r[0] for r in filters.foreign_rows(df).collect()] == ["en"]
+
+
+def test_junk_is_told_from_a_text_that_is_cleaned_once(spark):
+    from pyspark.sql import functions as F
+
+    from recensio.operators import filters
+
+    rows = [("ok",), ("buona app",), ("!!!",), ("",), (None,), ("<URL>",), (" Top ",)]
+    df = spark.createDataFrame(rows, "t string").withColumn("clean_text", F.regexp_replace("t", "SEEN", ""))
+    kept = filters.remove_junk_legacy(df)
+    assert sorted(r["t"] for r in kept.collect()) == [" Top ", "<URL>", "buona app"]
+    plan = kept.select(F.lit(1))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("SEEN") == 1
