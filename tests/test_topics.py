@@ -131,3 +131,16 @@ def test_labels_of_a_list_have_columns_of_their_own(spark):
     assert listed == ["labels_b", "labels_a", "language_it", "language_en", "rating", "review_date"] and len(names) == 6
     got = {r["id"]: r["features"].toArray().tolist() for r in matrix.collect()}
     assert got == {1: [1, 1, 1, 0, 1, 86400], 2: [1, 0, 0, 1, 2, 86400], 3: [0, 0, 1, 0, 3, 86400], 4: [0, 0, 0, 0, 4, 86400]}
+
+
+def test_blocks_of_the_silhouette_grow_with_the_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(120, 3)), rng.integers(-1, 4, 120)
+    df = spark.createDataFrame([(i, [float(a) for a in v], int(t)) for i, (v, t) in enumerate(zip(x, y))], "id long, v array<double>, topic int")
+    written, write = [], evaluate.materialize
+    monkeypatch.setattr(evaluate, "materialize", lambda d: written.append(write(d)) or written[-1])
+    monkeypatch.setattr(evaluate, "SILHOUETTE_BLOCKS", 4, raising=False)
+    monkeypatch.setattr(evaluate, "DISTANCES", 70, raising=False)
+    got = evaluate.silhouette(df, "id", "v", block=2).first()[0]
+    assert got == pytest.approx(silhouette(x[y != -1], y[y != -1]), abs=1e-9)
+    assert [d.count() for d in written if "block" in d.columns] == [4]
