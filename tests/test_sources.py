@@ -246,3 +246,16 @@ def test_lines_of_quoted_csv_stay_in_their_task(spark, tmp_path):
         assert "Window" not in plan
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_a_translator_gets_runs_of_bounded_bytes(spark, monkeypatch):
+    monkeypatch.setattr(tr, "BATCH_BYTES", 40, raising=False)
+    rows = [(i, "abcdefghij"[: i % 11] if i % 5 else None, "en") for i in range(50)] + [(50, "x" * 100, "en"), (51, "ciao", "it")]
+    df = spark.createDataFrame(rows, "id long, review string, detected_lang string").coalesce(1)
+
+    def make(code):
+        return lambda texts: [f"{sum(len(t or '') for t in texts)}" for _ in texts]
+
+    out = {r["id"]: r["final_text"] for r in tr.translate_with(df, make).collect()}
+    assert len(out) == 52 and out[51] == "ciao"
+    assert out.pop(50) == "100" and max(int(v) for k, v in out.items() if k < 50) <= 40
