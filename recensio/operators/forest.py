@@ -97,6 +97,9 @@ def feature_importance(
     seed: int = 42,
 ) -> DataFrame:
     """``(feature, importance)`` of a random forest, by falling importance."""
+    # labels, splits and trees read it again; its rows are so small that few tasks would hold them all
+    cores = matrix.sparkSession.sparkContext.defaultParallelism
+    matrix = materialize(matrix.select(target, "features").repartition(2 * cores))
     labelled = StringIndexer(inputCol=target, outputCol="_y", stringOrderType="alphabetAsc").fit(matrix).transform(matrix)
     forest = RandomForestClassifier(
         labelCol="_y", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed
