@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 
 from recensio.session import materialize
 
+#: Tables of so many nodes are broadcast; of more, rounds shuffle them. Edges, which are many more, never pass the driver.
+DRIVER_NODES = 20_000
+
+
+def by_nodes(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a row per node of ``rows`` at most, with a hint on how to join it."""
+    return df.hint("merge") if rows > DRIVER_NODES else F.broadcast(df)
+
 
 def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``(node, component)``; the component is its smallest node.
@@ -24,16 +32,17 @@ def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -
     both = materialize(both)
     kind = dict(nodes.dtypes)["node"]
     parents = materialize(nodes.select("node", F.col("node").alias("parent")))
+    size = parents.count()
     for _ in range(rounds):
         lifted = parents.join(
-            parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand")), "parent"
+            by_nodes(parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand")), size), "parent"
         ).select("node", "parent", "grand")
         nearest = (
-            both.join(lifted.select(F.col("node").alias("b"), "grand"), "b")
+            both.join(by_nodes(lifted.select(F.col("node").alias("b"), "grand"), size), "b")
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("grand").alias("near"))
         )
-        hooked = lifted.join(nearest, "node", "left").select(
+        hooked = lifted.join(by_nodes(nearest, size), "node", "left").select(
             "node", "parent", F.least("parent", "grand", F.coalesce("near", "grand")).alias("low")
         )
         proposals = hooked.select("node", "low", F.col("parent").alias("old")).union(

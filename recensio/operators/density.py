@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recensio.operators.cells import nearest_neighbours
-from recensio.operators.components import connected_components
+from recensio.operators.components import by_nodes, connected_components
 from recensio.operators.scale import lookup_join
 from recensio.session import materialize
 
@@ -77,9 +77,10 @@ def _tree(dense: DataFrame, dims: int, levels: int) -> DataFrame:
     moved = dense.select("level", "cell", F.col("node").alias("a"), F.explode(steps).alias("step")).select(
         "level", "a", F.zip_with("cell", "step", lambda c, s: c + s).alias("cell")
     )
-    edges = moved.join(dense.select("level", "cell", F.col("node").alias("b")), ["level", "cell"])
+    size = dense.count()
+    edges = moved.join(by_nodes(dense.select("level", "cell", F.col("node").alias("b")), size), ["level", "cell"])
     parts = connected_components(dense.select("node"), edges.select("a", "b"))
-    return materialize(dense.join(parts, "node").select("level", "cell", "n", "component"))
+    return materialize(dense.join(by_nodes(parts, size), "node").select("level", "cell", "n", "component"))
 
 
 def _choose_few(nodes: list[tuple], levels: int) -> list[int]:

@@ -38,3 +38,22 @@ def test_a_far_outlier_changes_nothing(spark):
     assert with_far.pop("far") == NOISE
     pairs = {(alone[k], with_far[k]) for k in alone}
     assert len(pairs) == len(set(alone.values())) == len({b for _, b in pairs})
+
+
+def test_components_broadcast_few_nodes_and_never_edges(spark, monkeypatch):
+    from recensio.operators import components
+
+    plans, write = [], components.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(components, "materialize", seen)
+    edges = spark.range(99).filter("id % 10 < 9").selectExpr("id as a", "id + 1 as b")
+    for most, absent in ((1_000, "BuildLeft"), (50, "Broadcast")):
+        plans.clear()
+        monkeypatch.setattr(components, "DRIVER_NODES", most, raising=False)
+        found = components.connected_components(spark.range(100).toDF("node"), edges).collect()
+        assert {r["node"]: r["component"] for r in found} == {i: i // 10 * 10 for i in range(100)}
+        assert plans and not any(absent in p for p in plans)
