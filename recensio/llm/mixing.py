@@ -53,14 +53,14 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS,
     """
     at = cells.filter(F.col("tokens") > 0).withColumn("weight", F.col("tokens").cast("double"))
     for margin in MARGINS:
-        at = at.join(targets[margin].withColumnRenamed("share", f"_{margin}"), margin)
+        # each step is written: a plan that holds the steps before it twice doubles with every margin on the driver
+        at = materialize(at.join(targets[margin].withColumnRenamed("share", f"_{margin}"), margin))
     for _ in range(rounds):
         for margin in MARGINS:
             # summed before rows meet, so a margin's value with very many cells is no task's burden
             sums = at.groupBy(margin).agg(F.sum("weight").alias("_sum"))
             at = at.join(sums, margin).withColumn(f"_by_{margin}", F.col(f"_{margin}") / F.col("_sum")).drop("_sum")
-            at = at.withColumn("weight", F.col("weight") * F.col(f"_by_{margin}"))
-        at = materialize(at)
+            at = materialize(at.withColumn("weight", F.col("weight") * F.col(f"_by_{margin}")))
         off = [F.max(F.abs(F.col(f"_by_{m}") - 1)) for m in MARGINS]
         worst = at.agg(F.greatest(*off)).first()[0]
         at = at.drop(*[f"_by_{m}" for m in MARGINS])
@@ -109,9 +109,9 @@ def mix(
     total = raked.agg(F.sum("tokens").alias("n"))
     ratios = raked.join(F.broadcast(total)).withColumn("ratio", F.col("weight") * F.col("n") / F.col("tokens"))
     top = ratios.agg(F.max("ratio").alias("top"))
-    ratios = ratios.join(F.broadcast(top)).select(
+    ratios = materialize(ratios.join(F.broadcast(top)).select(
         *[F.col(m).alias(at[m]) for m in MARGINS], "ratio", (F.col("ratio") / F.col("top")).alias("probability")
-    )
+    ))
     fit = raked.agg(F.max("fit").alias("fit"))  # one row
     if cells.count() <= BROADCAST_CELLS:
         ratios = F.broadcast(ratios)

@@ -334,3 +334,16 @@ def test_leaks_without_broadcast(spark, docs, monkeypatch):
     clean = leaks.without_hits(leaks.find_leaks(docs, items).drop("text").join(docs.select("doc_id", "text"), "doc_id"))
     row = clean.filter(F.size("hit_words") > 0).first()
     assert len(row["clean_text"].split(" ")) == row["n_words"] - len(row["hit_words"])
+
+
+def test_plans_of_raking_do_not_double_with_the_margins(spark, monkeypatch):
+    plans, write = [], mixing.materialize
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Aggregate"))
+        return write(df)
+
+    monkeypatch.setattr(mixing, "materialize", seen)
+    docs = spark.range(60).selectExpr("id as doc_id", "concat('w ', id) as text", "concat('l', id % 2) as lang", "concat('s', id % 3) as source")
+    assert mixing.mix(docs).count() == 60
+    assert max(plans) <= 8
