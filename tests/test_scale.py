@@ -103,3 +103,19 @@ def test_seldom_terms_come_back_to_their_texts(spark, monkeypatch):
         monkeypatch.setattr(module, "frequent_part", few)
     assert shown() == want
     assert len(parts) == 2 and all(0 < a <= 8 and b > 0 for a, b in parts)
+
+
+def test_salting_computes_its_rows_once_to_count_them_and_once_to_deal_them(spark):
+    from recensio.operators.scale import salted
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    left = spark.range(100).selectExpr("id", "id % 2 as k").mapInPandas(counted, "id long, k long")
+    a, b, keys = salted(left, spark.createDataFrame([(0,), (1,)], "k long"), ["k"], "id", 10)
+    assert a.join(b, keys).count() == 100
+    assert seen.value == 200
