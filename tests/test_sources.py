@@ -259,3 +259,17 @@ def test_a_translator_gets_runs_of_bounded_bytes(spark, monkeypatch):
     out = {r["id"]: r["final_text"] for r in tr.translate_with(df, make).collect()}
     assert len(out) == 52 and out[51] == "ciao"
     assert out.pop(50) == "100" and max(int(v) for k, v in out.items() if k < 50) <= 40
+
+
+def test_the_translation_table_moves_no_targets(spark, tmp_path):
+    from recensio.catalog import language
+
+    rows = [("fr", "abcd"), ("fr", "abcd"), (None, "abcd"), ("de", "abc"), ("de", None), (None, "ab"), ("de", "")]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    found = language.translations(spark, str(tmp_path))
+    wanted = spark.sql(language.TABLE_SQL.replace("from documents", "from {d}"), d=df)
+    assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect())) and found.columns == wanted.columns
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("], [")[0] for line in plan.split("\n") if "Aggregate" in line]
+    assert keys and not any("target_text" in k or "concat" in k for k in keys)
