@@ -189,3 +189,63 @@ def test_vector_blocks_meet_once(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
     got = [(r["id1"], r["id2"]) for r in vectors.similar_vectors(df, "id", "v", 0.9, most=200)[0].collect()]
     assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_blocks_meet_in_rounds(spark, texts, monkeypatch):
+    """Where many blocks meet, what moves at once stays at a few times the prefixes; pairs are those of brute force."""
+    moved, written = [], similar.materialize
+
+    def counted(df):
+        if df.columns == ["id1", "id2"]:
+            moved.append(df)
+        return written(df)
+
+    monkeypatch.setattr(similar, "BLOCK_TERMS", 60)
+    monkeypatch.setattr(similar, "MOVED", 1)
+    monkeypatch.setattr(similar, "materialize", counted)
+    df = spark.createDataFrame(texts, "id long, text string")
+    found = similar.similar_texts(df, "id", "text", 0.6)
+    assert len(moved) > 3  # a round each, and all of them
+    firsts = {r["first_id"] for r in found.groups.collect()}
+    want = {p for p, s in brute(texts).items() if s >= 0.6 - 1e-12 and firsts >= {*p}}
+    assert {(r["id1"], r["id2"]) for r in found.pairs.collect()} == want
+
+
+def test_vectors_of_near_copies_move_about_once(spark, monkeypatch):
+    """Candidates of one group of near copies share a cell, unless they are too many for one."""
+    ids = [[g * 100 + i for i in range(30)] for g in range(5)]
+    rows = [(a, b) for group in ids for a in group for b in group if a < b]
+    candidates = spark.createDataFrame(rows, "id1 long, id2 long")
+
+    def needed():
+        placed = similar._in_cells(candidates).collect()
+        assert sorted((r["id1"], r["id2"]) for r in placed) == rows
+        return len({(r["cell"], i) for r in placed for i in (r["id1"], r["id2"])}), max(Counter(r["cell"] for r in placed).values())
+
+    assert needed()[0] == 150
+    monkeypatch.setattr(similar, "CELL_PAIRS", 100)
+    copies_, most = needed()
+    assert copies_ < len(rows) and most < 435
+
+
+def test_numbered_terms_give_the_same_weights(spark, monkeypatch):
+    """Numbers and counts hold what term_weights lists, with a broadcast vocabulary and without, also for repeated and missing ids."""
+    from recensio.operators import scale, weights
+
+    rows = [(i % 17 if i % 9 else None, " ".join(f"w{j}" for j in range(40) if (i * j) % (j + 2) < 2)) for i in range(60)] + [(90, None), (91, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    listed = {}
+    for r in weights.term_weights(df, "id", "text").collect():
+        listed.setdefault(r["id"], []).append((r["before"], r["df"], r["weight"]))
+
+    def same():
+        numbered, n_docs = weights.numbered_terms(df, "id", "text")
+        seen = {r["id"]: [(x["before"], x["df"], x["weight"]) for x in r["terms"]] for r in weights.weighed(numbered, n_docs).collect()}
+        assert seen.keys() == listed.keys()
+        for i, entries in seen.items():
+            assert np.allclose(entries, sorted(listed[i]), atol=1e-9)
+
+    same()
+    monkeypatch.setattr(weights, "fits_broadcast", lambda *a: False)
+    monkeypatch.setattr(weights, "frequent_part", lambda dim, count: scale.frequent_part(dim, count, rows=8))
+    same()
