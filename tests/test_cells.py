@@ -79,3 +79,26 @@ def test_reduction_follows_curves(spark):
     assert np.sqrt(cells.squared(a, b)).min() > max(np.linalg.norm(np.diff(a, axis=0), axis=1).max(), np.linalg.norm(np.diff(b, axis=0), axis=1).max())
     none = reduce_by_neighbours(df.filter("id > 100"), "id")
     assert none.collect() == []
+
+
+def test_sent_columns_and_joins_give_the_same_places(spark, monkeypatch):
+    """The graph's rows lie still while the columns are sent to them; joins, for more rows, give the same places."""
+    from recensio.operators import spectral
+
+    rng = np.random.default_rng(8)
+    x = np.vstack([rng.normal(c, 0.3, (60, 6)) for c in rng.normal(size=(4, 6))])
+    df = table(spark, x).withColumnRenamed("v", "vector")
+
+    def places():
+        got = {r["id"]: r["reduced"] for r in spectral.reduce_by_neighbours(df, "id", dims=3, neighbours=5, products=10).collect()}
+        return np.array([got[i] for i in range(len(x))])
+
+    sent = places()
+    products = []
+    monkeypatch.setattr(spectral, "_product", lambda *a, old=spectral._product, **b: (products.append(a), old(*a, **b))[1])
+    assert np.allclose(sent, places(), atol=1e-6) and not products
+    monkeypatch.setattr(spectral, "STATE_BYTES", 0)
+    joined = places()
+    assert len(products) == 10
+    for j in range(3):  # a direction has no sign
+        assert min(np.abs(sent[:, j] - joined[:, j]).max(), np.abs(sent[:, j] + joined[:, j]).max()) < 1e-6
