@@ -273,3 +273,34 @@ def test_the_translation_table_moves_no_targets(spark, tmp_path):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     keys = [line.split("], [")[0] for line in plan.split("\n") if "Aggregate" in line]
     assert keys and not any("target_text" in k or "concat" in k for k in keys)
+
+
+def test_trigrams_are_counted_where_texts_lie(spark, monkeypatch):
+    """Counts, gains and languages are those of the column function, also without a broadcast table, dense sums or few letters."""
+    import math
+
+    from pyspark.sql import functions as F
+
+    from recensio.operators import language
+
+    texts = ["Perché no? è così", "the cat 𝒜𝒷𝒸 sat", "", None, "!!! 12", "a", "日本語のテキスト", "Ünïcode ſtraße İ", "".join(chr(0x4E00 + i * i % 900) for i in range(400))]
+    rows = [(i % 30 if i % 8 else None, t, None if i % 11 == 3 else f"l{i % 9}") for i, t in enumerate(texts * 7)]
+    df = spark.createDataFrame(rows, "id long, t string, l string")
+    pieces = df.filter("l is not null").select("l", F.explode(language.trigrams(F.col("t"))).alias("g"))
+    want = {(r["g"], r["l"]): r["count"] for r in pieces.groupBy("g", "l").count().collect()}
+
+    def shown():
+        model = language.train_language_model(df, "t", "l")
+        counts = {(r["trigram"], g["code"]): round(math.exp(g["gain"]) - 1) for r in model.table.collect() for g in r["gains"] if g["code"]}
+        assert counts == want
+        return sorted(map(str, language.detect_language(df, "id", "t", model).collect()))
+
+    moved = []
+    monkeypatch.setattr(language, "lookup_join", lambda *a, old=language.lookup_join: (moved.append(a), old(*a))[1])
+    found = shown()
+    assert not moved  # trigrams stay with their texts
+    monkeypatch.setattr(language, "DENSE", 0)
+    monkeypatch.setattr(language, "SLICE", 50)
+    assert shown() == found
+    monkeypatch.setattr(language, "fits_broadcast", lambda *a: False)
+    assert shown() == found and moved
