@@ -102,7 +102,7 @@ def feature_importance(
     matrix = materialize(matrix.select(target, "features").repartition(2 * cores))
     labelled = StringIndexer(inputCol=target, outputCol="_y", stringOrderType="alphabetAsc").fit(matrix).transform(matrix)
     forest = RandomForestClassifier(
-        labelCol="_y", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed
+        labelCol="_y", featuresCol="features", numTrees=trees, maxDepth=depth, seed=seed, cacheNodeIds=True
     ).fit(labelled)
     rows = [(place, float(value)) for place, value in enumerate(forest.featureImportances.toArray())]
     found = matrix.sparkSession.createDataFrame(rows, "place long, importance double")

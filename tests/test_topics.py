@@ -144,3 +144,24 @@ def test_blocks_of_the_silhouette_grow_with_the_rows(spark, monkeypatch):
     got = evaluate.silhouette(df, "id", "v", block=2).first()[0]
     assert got == pytest.approx(silhouette(x[y != -1], y[y != -1]), abs=1e-9)
     assert [d.count() for d in written if "block" in d.columns] == [4]
+
+
+def test_forest_keeps_the_nodes_that_rows_have_reached(spark, monkeypatch):
+    """A level of the trees reads where each row stands and does not walk down from the root again."""
+    from recensio.operators import forest
+
+    rows = [(i, ["a", "b"][i % 2], f"l{i % 3}", float(i), "2024-01-01", ["x", "y"][i % 5 == 0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, labels string, language string, rating double, d string, sentiment string")
+    df = df.withColumn("review_date", F.to_date("d"))
+    matrix, names = forest.feature_matrix(df, numeric=["rating"])
+    made = []
+
+    class Seen(forest.RandomForestClassifier):
+        def fit(self, *args):
+            made.append(self)
+            return super().fit(*args)
+
+    monkeypatch.setattr(forest, "RandomForestClassifier", Seen)
+    found = forest.feature_importance(matrix, names, trees=5, depth=6).collect()
+    assert len(found) == len(names) and abs(sum(r["importance"] for r in found) - 1) < 1e-6
+    assert [m.getCacheNodeIds() for m in made] == [True]
