@@ -102,3 +102,14 @@ def test_sent_columns_and_joins_give_the_same_places(spark, monkeypatch):
     assert len(products) == 10
     for j in range(3):  # a direction has no sign
         assert min(np.abs(sent[:, j] - joined[:, j]).max(), np.abs(sent[:, j] + joined[:, j]).max()) < 1e-6
+
+
+def test_rounding_does_not_choose_the_sign_of_a_direction():
+    """Columns that are orthogonal but for rounding keep their signs, whichever way the rounding went."""
+    from recensio.operators.spectral import _orthogonal
+
+    gram = np.diag([4.0, 3.0, 2.0, 1.0])
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        noise = rng.normal(0, 1e-15, (4, 4))
+        assert np.allclose(_orthogonal(gram + noise + noise.T), np.diag([0.5, 3**-0.5, 2**-0.5, 1.0]))
